@@ -1,12 +1,56 @@
-"""The corpus pipeline: STAGES over documents, each written as Parquet and reread."""
+"""The corpus pipeline: STAGES over documents, each written as Parquet and reread as the next one's documents."""
 
 from __future__ import annotations
 
-from quire.llm import near_dedup
+import posixpath
+import tempfile
+import uuid
 
+from quire.llm import decontaminate, near_dedup, pieces, quality, secrets
 
-def dedup(spark, docs, sf_dir):
+#: SQL can't express the trained stages (quality, secrets) nor the sampled last one; tests hold each against brute force.
+ORACLE_SQL = None
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_stage(spark, docs, sf_dir):
+    """Documents that the classifier rejects go."""
+    return quality.kept_documents(docs, _table(spark, sf_dir, "labels"))
+
+
+def near_dedup_stage(spark, docs, sf_dir):
+    """One document of each group of near copies stays."""
     return near_dedup.kept_documents(docs)
 
 
-STAGES = [("near_dedup", dedup)]
+def decontamination_stage(spark, docs, sf_dir):
+    """Documents with benchmark passages go."""
+    return decontaminate.clean_documents(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def secrets_stage(spark, docs, sf_dir):
+    """Secrets are masked; every document stays."""
+    return secrets.redacted_documents(docs)
+
+
+def pieces_stage(spark, docs, sf_dir):
+    """Pieces of each text; decoding them gives the text back."""
+    return pieces.encode(docs)
+
+
+STAGES = [("quality", quality_stage), ("near_dedup", near_dedup_stage), ("decontamination", decontamination_stage), ("secrets", secrets_stage), ("pieces", pieces_stage)]
+
+
+def run(spark, sf_dir):
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or tempfile.mkdtemp("quire")
+    folder = posixpath.join(shared, f"pipeline-{uuid.uuid4().hex}")
+    docs = _table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        at = posixpath.join(folder, f"{k}-{name}")
+        stage(spark, docs, sf_dir).write.parquet(at)
+        docs = spark.read.parquet(at)
+    return docs
