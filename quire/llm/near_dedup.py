@@ -12,8 +12,8 @@ words, the whole sequence as one shingle; without words (or null), empty and lin
 3. Candidates pass a 128-bit sketch (agreement far below what the threshold allows is dropped: six standard
    deviations), then links are confirmed on the full sets. First the best partner of each row, then every candidate
    pair whose ends aren't yet in one component.
-4. Kept regions that hold rows of several components: each row outside the region's largest component meets all others
-   of the region (again sketch, then full sets), so dense regions lose no link either.
+4. Kept regions that hold rows of several components: each row outside the largest component meets all others there in cells of
+   bounded size that compare full sets and give out confirmed links only, so dense regions lose no link either.
 
 Two sets at a similarity of 0.85 share a prefix of depth 4 in none of 24 trees with probability 2e-8; regions of more than
 REGION rows at depth 4 use deeper prefixes, with 1e-5 at depth 6. Repeated rows count as equal sets; a repeated doc_id with
@@ -23,6 +23,7 @@ different texts is one node with all its sets' links. Rows without doc_id link w
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -248,7 +249,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> Da
     if rest.take(1):
         edges = settle(edges.unionByName(confirmed(docs, rest, percent, shingle)))
         comp = components(edges)
-    edges = _dense(docs, found.where("dense").select(F.col("a").alias("region"), F.col("b").alias("doc_id"), F.col("x").alias("s0"), F.col("y").alias("s1")), comp, edges, percent, shingle)
+    edges = _dense(docs, found.where("dense").select(F.col("a").alias("region"), F.col("b").alias("doc_id")), comp, edges, percent, shingle)
     # repeated ids with several sets tie these together
     repeated = some.groupBy("doc_id").agg(F.min_by(F.struct("hi", "lo"), F.struct("hi", "lo")).alias("m"), F.max(F.struct("hi", "lo")).alias("x")).where("m <> x").select("doc_id")
     tied = same_id.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -260,19 +261,53 @@ def near_dedup(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> Da
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+#: Rows of one cell of step 4, on either side.
+CELL_ODD, CELL_ROWS = 2000, 500
+
+
+def _cell_links(percent):
+    """Of one cell: a link from each row to each other component among the odd rows that it is similar to, by counting common shingles exactly."""
+
+    def run(key, odd: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(odd) and len(rows):
+            sizes = odd["shingles"].map(len).to_numpy()
+            flat = np.concatenate(odd["shingles"].to_numpy())
+            owner = np.repeat(np.arange(len(odd)), sizes)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            ids, roots = odd["doc_id"].to_numpy(), odd["root"].to_numpy()
+            for doc, root, own in zip(rows["doc_id"], rows["root"], rows["shingles"]):
+                a, b = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                common = np.bincount(owner[ranges(a, b - a)], minlength=len(odd))
+                hit = np.flatnonzero((100 * common >= percent * (sizes + len(own) - common)) & (roots != root))
+                _, one = np.unique(roots[hit], return_index=True)
+                out += [(doc, x) for x in ids[hit[one]]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def _dense(docs, rows, comp, edges, percent, shingle):
-    """Step 4: links between components inside dense regions."""
-    rows = settle(spread_join(rows.distinct(), comp.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")))
+    """Step 4: links between components inside dense regions. Regions with the same largest component form a group; the rows
+    outside that component meet all rows of the group in cells of bounded size, which count common shingles and give out confirmed links only."""
+    rows = settle(spread_join(rows.select("region", "doc_id").distinct(), comp.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")))
     parts = rows.groupBy("region", "root").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    if not mixed.take(1):
+    mixed = parts.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("region", "main")
+    own = settle(spread_join(rows, mixed, "region").select("main", "doc_id", "root").distinct())
+    odd = own.where("root <> main")
+    count = own.groupBy("main").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("nr"), F.ceil(F.count_if(F.col("root") != F.col("main")) / CELL_ODD).cast("int").alias("no")).where("no > 0")
+    if not count.take(1):
         return edges
-    rows = settle(spread_join(rows, mixed, "region"))
-    odd = rows.where("root <> main").select("region", F.col("doc_id").alias("o"), F.col("root").alias("ro"), F.col("s0").alias("o0"), F.col("s1").alias("o1"))
-    agree = SKETCH - F.bit_count(F.col("s0").bitwiseXOR(F.col("o0"))) - F.bit_count(F.col("s1").bitwiseXOR(F.col("o1")))
-    more = spread_join(rows, odd, "region").where("root <> ro").where(agree >= least_agreement(percent))
-    more = settle(more.select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct())
-    return settle(edges.unionByName(confirmed(docs, more, percent, shingle))) if more.take(1) else edges
+    ids = own.select("doc_id").distinct()
+    sets = semi(bound(docs, {"doc_id": "bigint", "text": "string"}), settle(ids), "doc_id").mapInArrow(lambda it: _sets(it, shingle), "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
+    sets = settle(sets)
+    place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
+    left = spread_join(odd, count, "main").select("main", "doc_id", "root", place("no").alias("o"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).cast("bigint").alias("r")).join(sets, "doc_id")
+    right = spread_join(own, count, "main").select("main", "doc_id", "root", place("nr").alias("r"), F.explode(F.sequence(F.lit(0), F.col("no") - 1)).cast("bigint").alias("o")).join(sets, "doc_id")
+    cell = ["main", "o", "r"]
+    more = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_cell_links(percent), "a bigint, b bigint")
+    return settle(edges.unionByName(more))
 
 
 def kept_documents(docs: DataFrame, percent: int = 85) -> DataFrame:
