@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
-FLAGSHIP = "qry03_search"
+from . import profiling, reconciling  # noqa: F401
+from .registry import ORACLE, QUERIES
+
+FLAGSHIP = "chk02_greedy_chunks"
+__all__ = ["FLAGSHIP", "ORACLE", "QUERIES"]
