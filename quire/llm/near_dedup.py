@@ -268,7 +268,7 @@ CELL_ODD, CELL_ROWS = 2000, 500
 def _cell_links(percent):
     """Of one cell: a link from each row to each other component among the odd rows that it is similar to, by counting common shingles exactly."""
 
-    def run(key, odd: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(odd: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(odd) and len(rows):
             sizes = odd["shingles"].map(len).to_numpy()
@@ -296,17 +296,19 @@ def _dense(docs, rows, comp, edges, percent, shingle):
     mixed = parts.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("region", "main")
     own = settle(spread_join(rows, mixed, "region").select("main", "doc_id", "root").distinct())
     odd = own.where("root <> main")
-    count = own.groupBy("main").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("nr"), F.ceil(F.count_if(F.col("root") != F.col("main")) / CELL_ODD).cast("int").alias("no")).where("no > 0")
+    count = own.groupBy("main").agg(F.ceil(F.count("*") / CELL_ROWS).cast("bigint").alias("nr"), F.ceil(F.count_if(F.col("root") != F.col("main")) / CELL_ODD).cast("bigint").alias("no")).where("no > 0")
     if not count.take(1):
         return edges
     ids = own.select("doc_id").distinct()
     sets = semi(bound(docs, {"doc_id": "bigint", "text": "string"}), settle(ids), "doc_id").mapInArrow(lambda it: _sets(it, shingle), "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
     sets = settle(sets)
     place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
-    left = spread_join(odd, count, "main").select("main", "doc_id", "root", place("no").alias("o"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).cast("bigint").alias("r")).join(sets, "doc_id")
-    right = spread_join(own, count, "main").select("main", "doc_id", "root", place("nr").alias("r"), F.explode(F.sequence(F.lit(0), F.col("no") - 1)).cast("bigint").alias("o")).join(sets, "doc_id")
+    left = spread_join(odd, count, "main").select("main", "doc_id", "root", place("no").alias("o"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nr") - 1)).alias("r")).join(sets, "doc_id")
+    right = spread_join(own, count, "main").select("main", "doc_id", "root", place("nr").alias("r"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("no") - 1)).alias("o")).join(sets, "doc_id")
     cell = ["main", "o", "r"]
-    more = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_cell_links(percent), "a bigint, b bigint")
+    both = left.withColumn("odd", F.lit(True)).unionByName(right.withColumn("odd", F.lit(False)))
+    links = _cell_links(percent)
+    more = both.groupBy(*cell).applyInPandas(lambda x: links(x[x["odd"]], x[~x["odd"]]), "a bigint, b bigint")
     return settle(edges.unionByName(more))
 
 

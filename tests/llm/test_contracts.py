@@ -109,9 +109,13 @@ def test_near_dedup_of_repeated_rows(docs):
 def test_near_dedup_dense_region(spark):
     """A large group of near copies whose regions are dense at full depth."""
     base = [f"w{k}" for k in range(300)]
-    own = [(k, " ".join([*base[:290], f"x{k}", *base[290:]])) for k in range(150)] + [(1000 + k, " ".join([*base[:100], *(f"y{k}{j}" for j in range(200))])) for k in range(30)]
+    own = [(k, " ".join([*base[:290], f"x{k}", *base[290:]])) for k in range(150)]
+    # further from the group than the threshold, some of them near each other
+    own += [(300 + k, " ".join(w if (i + k // 2) % 50 else f"z{k // 2}{i}" for i, w in enumerate([*base, f"u{k}"]))) for k in range(60)]
+    own += [(1000 + k, " ".join([*base[:100], *(f"y{k}{j}" for j in range(200))])) for k in range(30)]
     got = rows(near_dedup.near_dedup(spark.createDataFrame(own, "doc_id bigint, text string")))
-    assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in brute.near(own).items()}
+    want = {i: c for i, (_, c) in brute.near(own).items()}
+    assert {i: r["component_id"] for i, r in got.items()} == want and len(set(want.values())) > 20
 
 
 def test_components(spark):
@@ -318,3 +322,14 @@ def test_html(spark):
     assert got[0]["text"] == want and got[0]["n_chars"] == len(want)
     assert got[1]["text"] == long.strip() + "\nShort end."
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
+def test_cell_links_are_exact():
+    import pandas as pd
+
+    r = random.Random(5)
+    sets = [sorted(r.sample(range(60), r.randint(40, 58))) for _ in range(80)]
+    t = pd.DataFrame({"doc_id": range(80), "root": range(80), "shingles": sets})
+    got = near_dedup._cell_links(85)(t[t.doc_id % 3 == 0], t)
+    want = {(b, a) for a in range(0, 80, 3) for b in range(80) if a != b and 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))}
+    assert {tuple(x) for x in got.itertuples(index=False)} == want and want
