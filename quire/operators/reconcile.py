@@ -64,14 +64,13 @@ def similar_candidates(blocks: DataFrame) -> DataFrame:
     return x.where((F.col("chunk") != F.col("next_chunk")) & (2.0 * F.least(a, b) / (a + b) > SIMILAR))
 
 
-@F.pandas_udf("double")
-def matcher_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
 
 
 def similar(blocks: DataFrame) -> DataFrame:
     """Near-duplicate neighbours; only candidates reach Python."""
-    x = similar_candidates(blocks).withColumn("similarity", matcher_ratio("content", "next_content")).where(F.col("similarity") > SIMILAR)
+    x = similar_candidates(blocks).withColumn("similarity", F.pandas_udf(_ratios, "double")("content", "next_content")).where(F.col("similarity") > SIMILAR)
     return x.select("source", "ord", "page", F.round("similarity", 6).alias("similarity"), (F.col("next_page") - F.col("page")).alias("page_distance"))
 
 
