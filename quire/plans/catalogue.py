@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import profiling, reconciling  # noqa: F401
+from . import profiling, querying, reconciling, sourcing  # noqa: F401
 from .registry import ORACLE, QUERIES
 
-FLAGSHIP = "chk02_greedy_chunks"
+#: Keyword search over the sections of reconciled blocks: it runs through the whole engine.
+FLAGSHIP = "qry03_search"
 __all__ = ["FLAGSHIP", "ORACLE", "QUERIES"]

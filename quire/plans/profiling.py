@@ -235,10 +235,10 @@ def ext12_rate_class(spark, sf_dir):
 
 
 @query(CA + """, o AS (SELECT run, call, sec, in_tok AS tok, row_number() OVER (PARTITION BY run ORDER BY sec, call) AS k FROM ca),
-r AS (SELECT run, call, sec, k, sec AS at, tok AS used, sec AS now FROM o WHERE k = 1
- UNION ALL SELECT run, call, sec, k, CASE WHEN full_ THEN at + 60 ELSE at END, CASE WHEN full_ THEN tok ELSE used + tok END, now + CASE WHEN full_ THEN at + 60 - now ELSE 0 END FROM (
-  SELECT *, used > 0 AND used + tok > 8000 AS full_ FROM (SELECT o.run, o.call, o.sec, o.tok, o.k, greatest(r.now, o.sec) AS now, CASE WHEN greatest(r.now, o.sec) - r.at >= 60 THEN greatest(r.now, o.sec) ELSE r.at END AS at,
-  CASE WHEN greatest(r.now, o.sec) - r.at >= 60 THEN 0 ELSE r.used END AS used FROM r JOIN o ON o.run = r.run AND o.k = r.k + 1)))
+r AS (SELECT run, call, sec, k, sec AS st, tok AS used, sec AS now FROM o WHERE k = 1
+ UNION ALL SELECT run, call, sec, k, CASE WHEN full_ THEN st + 60 ELSE st END, CASE WHEN full_ THEN tok ELSE used + tok END, now + CASE WHEN full_ THEN st + 60 - now ELSE 0 END FROM (
+  SELECT *, used > 0 AND used + tok > 8000 AS full_ FROM (SELECT o.run, o.call, o.sec, o.tok, o.k, greatest(r.now, o.sec) AS now, CASE WHEN greatest(r.now, o.sec) - r.st >= 60 THEN greatest(r.now, o.sec) ELSE r.st END AS st,
+  CASE WHEN greatest(r.now, o.sec) - r.st >= 60 THEN 0 ELSE r.used END AS used FROM r JOIN o ON o.run = r.run AND o.k = r.k + 1)))
 SELECT run, call, now - sec AS wait FROM r""")
 def ext13_limiter(spark, sf_dir):
     c = tables.calls(spark, sf_dir).select("run", "call", "sec", F.col("in_tok").alias("tok"))

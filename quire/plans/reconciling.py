@@ -88,7 +88,7 @@ def rec05_similar(spark, sf_dir):
     return reconcile.similar(_sorted(spark, sf_dir).withColumn("chunk", F.col("ord")))
 
 
-@query(SO + """, at AS (SELECT source, ord, page FROM so WHERE ord % 25 = 7), x AS (SELECT a.source, a.ord, b.ord AS o FROM at a JOIN so b ON a.source = b.source AND
+@query(SO + """, pick AS (SELECT source, ord, page FROM so WHERE ord % 25 = 7), x AS (SELECT a.source, a.ord, b.ord AS o FROM pick a JOIN so b ON a.source = b.source AND
 ((b.ord < a.ord AND b.ord >= a.ord - 5 AND b.page >= a.page - 3) OR (b.ord >= a.ord + 2 AND b.ord < a.ord + 7 AND b.page <= a.page + 3)))
 SELECT source, ord, COALESCE(string_agg(CAST(o AS VARCHAR), ',' ORDER BY o) FILTER (WHERE o < ord), '') AS before, COALESCE(string_agg(CAST(o AS VARCHAR), ',' ORDER BY o) FILTER (WHERE o > ord), '') AS after FROM x GROUP BY 1, 2""")
 def rec06_context(spark, sf_dir):
@@ -217,10 +217,10 @@ def rec19_seams(spark, sf_dir):
     return _seams(spark, sf_dir).select("source", "ord", "block_type", "is_repeated", F.char_length("content").cast("bigint").alias("n"))
 
 
-@query(BL + " SELECT source, chunk, seq, CASE WHEN chunk = 1 THEN upper(content) ELSE content END AS content FROM bl")
+@query(BL + " SELECT source, chunk, seq, CASE WHEN chunk = 1 THEN reverse(content) ELSE content END AS content FROM bl")
 def rec20_splice(spark, sf_dir):
     b = tables.blocks(spark, sf_dir).select("source", "chunk", "seq", "content")
-    return reconcile.spliced(b, b.where("chunk = 1").withColumn("content", F.upper("content")))
+    return reconcile.spliced(b, b.where("chunk = 1").withColumn("content", F.reverse("content")))
 
 
 _NORM = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({0}), '\.{{2,}}\s*[0-9]+\s*$', ''), '\s+[0-9]+\s*$', ''), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g'), ' ')"

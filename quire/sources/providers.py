@@ -1,0 +1,87 @@
+"""Block providers: a registry of classes that turn a chunk's pages into blocks.
+
+A provider runs as mapInArrow over pages that are dealt by (document, chunk) and sorted by page, so that a remote one
+sees a whole chunk at a time and its concurrency is the number of partitions. Only the native-text provider ships; it
+needs no network. Others register themselves: `providers.register("name", MyProvider)`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable, Iterator
+from typing import Protocol
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+SCHEMA = "doc string, chunk bigint, page bigint, ord bigint, block_type string, content string, in_tok bigint, out_tok bigint, error string"
+_ARROW = [("doc", pa.string()), ("chunk", pa.int64()), ("page", pa.int64()), ("ord", pa.int64()), ("block_type", pa.string()), ("content", pa.string()), ("in_tok", pa.int64()), ("out_tok", pa.int64()), ("error", pa.string())]
+
+
+class Provider(Protocol):
+    """blocks(pages): (page, type, content) of each block of a chunk's (page, text) pairs."""
+
+    def blocks(self, pages: list[tuple[int, str]]) -> Iterable[tuple[int, str, str]]: ...
+
+
+class NativeText:
+    """Lines of a page's text: short ones without a final stop are headings, the others paragraphs."""
+
+    def blocks(self, pages):
+        for page, text in pages:
+            for line in (x.strip() for x in (text or "").split("\n")):
+                if line:
+                    yield page, "heading" if len(line) <= 24 and line[-1] not in ".!?" else "paragraph", line
+
+
+_REGISTRY: dict[str, Callable[[], Provider]] = {"native": NativeText}
+
+
+def register(name: str, make: Callable[[], Provider]) -> None:
+    _REGISTRY[name] = make
+
+
+def get(name: str) -> Provider:
+    if name not in _REGISTRY:
+        raise ValueError(f"no provider {name!r}; registered: {', '.join(sorted(_REGISTRY))}")
+    return _REGISTRY[name]()
+
+
+def attempt(provider: Provider, pages: list[tuple[int, str]], retries: int = 3, wait: Callable[[float], None] | None = None):
+    """Blocks and error of a chunk; only errors that tell of a rate limit are tried again, after 2, 4, 8 ... seconds."""
+    for k in range(retries + 1):
+        try:
+            return list(provider.blocks(pages)), None
+        except Exception as e:  # noqa: BLE001  a provider's error becomes a row
+            error = f"{type(e).__name__}: {e}"
+            if k == retries or not any(w in error.lower() for w in ("overload", "rate", "429", "too_many")):
+                return [], error
+            if wait:
+                wait(2.0 ** (k + 1))
+    return [], None
+
+
+def _rows(provider: Provider, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out(key, pages):
+        blocks, error = attempt(provider, pages)
+        used = sum(len(t or "") for _, t in pages) // 4
+        made = sum(len(c) for *_, c in blocks) // 4
+        rows = [(*key, p, i, kind, content, used, made, None) for i, (p, kind, content) in enumerate(blocks)]
+        rows = rows or [(*key, p, i, "extraction_failure", "", used, 0, error or "no block") for i, (p, _) in enumerate(pages)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _ARROW)], [n for n, _ in _ARROW])
+
+    key, pages = None, []
+    for b in batches:
+        for doc, chunk, page, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if (doc, chunk) != key and pages:
+                yield out(key, pages)
+                pages = []
+            key = (doc, chunk)
+            pages.append((page, text))
+    if pages:
+        yield out(key, pages)
+
+
+def run(provider: Provider, pages: DataFrame) -> DataFrame:
+    """pages (doc, chunk, page, text) to blocks (SCHEMA)."""
+    p = pages.select("doc", "chunk", "page", "text").repartition("doc", "chunk").sortWithinPartitions("doc", "chunk", "page")
+    return p.mapInArrow(lambda it: _rows(provider, it), SCHEMA)

@@ -95,7 +95,7 @@ BEDS = {
         trim(regexp_replace(regexp_replace(raw, '<[^>]*>', '', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ') AS content FROM hb1)""",
     "ot": """ot AS (SELECT doc, ord, CAST(1 + (ord - 1) // 3 AS BIGINT) AS page, item, qty, flag FROM (SELECT l_orderkey AS doc, row_number() OVER (PARTITION BY l_orderkey
         ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) AS ord, CAST(l_partkey AS BIGINT) AS item, CAST(l_quantity AS BIGINT) AS qty, l_returnflag AS flag FROM lineitem))""",
-    "ca": """ca AS (SELECT CAST(user_id AS BIGINT) AS run, event_type AS method, CAST(event_id AS BIGINT) AS call, CAST(epoch(ts) AS BIGINT) AS sec, n % 5000 + 500 AS in_tok, n % 900 + 100 AS out_tok
+    "ca": """ca AS (SELECT CAST(user_id AS BIGINT) AS run, event_type AS method, CAST(event_id AS BIGINT) AS call, CAST(floor(epoch(ts)) AS BIGINT) AS sec, n % 5000 + 500 AS in_tok, n % 900 + 100 AS out_tok
         FROM (SELECT *, COALESCE(CAST(floor(abs(value) * 100) AS BIGINT), 0) AS n FROM events))""",
 }
 _NEEDS = {"pf": ["bp"], "bl": ["bp"]}
