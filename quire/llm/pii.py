@@ -10,7 +10,8 @@ left, right: what stands right before and after it
 Votes are counted by pattern in Spark (at most 3^4 patterns a kind and length class, whatever the input), and the driver
 runs expectation-maximisation on these counts: it estimates how reliable each labeler is and how likely each pattern is
 personal data. A logistic span classifier over kind, votes and length class is then fitted to these likelihoods, and its
-weights score every candidate in Spark. Candidates that aren't base spans are added where the score reaches 0.5.
+weights score every candidate in Spark. Candidates that aren't base spans are added where the score reaches 0.5, unless
+their shape is wrong (a failed check of a base kind is never overruled) or they overlap a base span.
 
 Null text counts as empty; empty texts and tables give no spans; repeated rows are scored alike, each by itself.
 """
@@ -168,10 +169,16 @@ def scan(docs: DataFrame) -> DataFrame:
     rank = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(i)) for i, k in enumerate(KINDS)))
     spans = F.transform(
         F.coalesce("found", F.array().cast(found.schema["found"].dataType)),
-        lambda x: F.struct(x["s"].alias("s"), rank[x["kind"]].alias("rank"), x["kind"].alias("kind"), x["e"].alias("e"), (x["kind"].isin(*BASE) & ((x["kind"] == "email") | (x["shape"] == 1))).alias("base"), _score(x, w).alias("score")),
+        lambda x: F.struct(x["s"].alias("s"), rank[x["kind"]].alias("rank"), x["kind"].alias("kind"), x["e"].alias("e"), (x["kind"].isin(*BASE) & ((x["kind"] == "email") | (x["shape"] == 1))).alias("base"), _score(x, w).alias("score"), x["shape"].alias("shape")),
     )
-    kept = F.array_sort(F.filter(spans, lambda x: x["base"] | (x["score"] >= 0.5)))
-    return found.select("doc_id", kept.alias("spans"))
+    base = F.filter(spans, lambda x: x["base"])
+
+    def added(x):
+        inside = F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+        return ~x["base"] & (x["shape"] >= 0) & (x["score"] >= 0.5) & ~inside
+
+    out = found.select("doc_id", spans.alias("spans"), base.alias("base"))
+    return out.select("doc_id", F.array_sort(F.concat("base", F.filter("spans", added))).alias("spans"))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
