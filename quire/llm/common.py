@@ -33,7 +33,7 @@ def partitions(spark: SparkSession) -> int:
 
 def semi(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
     """Rows of df whose key is in ids (one column, named key): broadcast if ids are few enough, else shuffled."""
-    few = ids.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    few = ids.count() <= MAX_BROADCAST_ROWS
     return df.join(F.broadcast(ids) if few else ids, key, how)
 
 

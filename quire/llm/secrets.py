@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bound, buffers, joined_spans, keys
+from .common import blocks, bound, buffers, joined_spans, keys, settle
 
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -69,11 +69,9 @@ def worth_reading(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         p = np.concatenate(at)
         d = np.searchsorted(offs, p, side="right") - 1
         out[d[d < len(out)]] = True
-        for a, b in (_runs(_TOKEN[data], 20),):  # a run that covers several texts
-            for x, y in zip(a, b):
-                lo, hi = np.searchsorted(offs, x, side="right") - 1, np.searchsorted(offs, y, side="left")
-                if hi - lo > 1:
-                    out[lo:hi] = True
+        lo, hi = np.searchsorted(offs, s, side="right") - 1, np.searchsorted(offs, e, side="left")
+        for k in np.flatnonzero(hi - lo > 1):  # a run that covers several texts
+            out[lo[k] : hi[k]] = True
     return out
 
 
@@ -196,7 +194,7 @@ class Network:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network from the findings of docs; None without findings of both labels."""
-    got = bound(docs, {"text": "string"}).mapInArrow(_findings, "ord bigint, label int, win binary").dropDuplicates(["ord"])
+    got = settle(bound(docs, {"text": "string"}).mapInArrow(_findings, "ord bigint, label int, win binary").dropDuplicates(["ord", "label"]))
     rows = [r for y in (0, 1) for r in got.where(F.col("label") == y).orderBy("ord", "win").limit(sample).collect()]  # at most 2 * sample windows
     rows.sort(key=lambda r: (r["ord"], bytes(r["win"])))
     y = np.array([r["label"] for r in rows], np.float32)
