@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import profiling, querying, reconciling, sourcing  # noqa: F401
+from . import profiling, querying, reconciling, sourcing, storing  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 #: Keyword search over the sections of reconciled blocks: it runs through the whole engine.

@@ -110,7 +110,7 @@ def qry12_bundle(spark, sf_dir):
 
 
 #: Models by method.
-_MODEL = "CASE method WHEN 'view' THEN 'claude-sonnet-x' WHEN 'click' THEN 'big-OPUS' WHEN 'purchase' THEN 'haiku-sonnet' ELSE 'other' END"
+_MODEL = "CASE method WHEN 'view' THEN 'some-sonnet' WHEN 'click' THEN 'big-OPUS' WHEN 'purchase' THEN 'haiku-sonnet' ELSE 'other' END"
 _PRICE = "CASE WHEN contains(lower(model), 'sonnet') THEN {0} WHEN contains(lower(model), 'opus') THEN {1} WHEN contains(lower(model), 'haiku') THEN {2} ELSE {0} END"
 PR = CA + f", pr AS (SELECT *, {_PRICE.format('3.0', '15.0', '0.8')} AS p_in, {_PRICE.format('15.0', '75.0', '4.0')} AS p_out FROM (SELECT *, {_MODEL} AS model FROM ca)), co AS (SELECT *, in_tok / 1e6 * p_in + out_tok / 1e6 * p_out AS cost FROM pr)"
 
