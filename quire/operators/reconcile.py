@@ -74,12 +74,14 @@ def similar(blocks: DataFrame) -> DataFrame:
     return x.select("source", "ord", "page", F.round("similarity", 6).alias("similarity"), (F.col("next_page") - F.col("page")).alias("page_distance"))
 
 
-def duplicate_context(blocks: DataFrame, at: DataFrame, near: int = 5, pages: int = 3) -> DataFrame:
-    """at (source, ord, page): up to `near` blocks on either side within `pages` pages (from two behind), as ordered lists of ord."""
-    b = blocks.select("source", F.col("ord").alias("o"), F.col("page").alias("p"))
-    x = at.select("source", "ord", "page").join(b, (at["source"] == b["source"]) & (((b["o"] < at["ord"]) & (b["o"] >= at["ord"] - near) & (b["p"] >= at["page"] - pages)) | ((b["o"] >= at["ord"] + 2) & (b["o"] < at["ord"] + 2 + near) & (b["p"] <= at["page"] + pages)))).drop(b["source"])
-    lists = lambda cond: F.array_join(F.array_sort(F.collect_list(F.when(cond, F.col("o")))).cast("array<string>"), ",")
-    return x.groupBy("source", "ord").agg(lists(F.col("o") < F.col("ord")).alias("before"), lists(F.col("o") > F.col("ord")).alias("after"))
+def duplicate_context(blocks: DataFrame, near: int = 5, pages: int = 3) -> DataFrame:
+    """For each block, up to `near` blocks on either side within `pages` pages (from two behind), as ordered lists of ord: window
+    frames of fixed length, so the work is linear in the blocks."""
+    w = Window.partitionBy("source").orderBy("ord")
+    frame = lambda a, b: F.collect_list(F.struct("ord", "page")).over(w.rowsBetween(a, b))
+    told = lambda xs, keep: F.array_join(F.transform(F.array_sort(F.filter(xs, keep)), lambda x: x["ord"].cast("string")), ",")
+    x = blocks.select("source", "ord", "page", frame(-near, -1).alias("b"), frame(2, 1 + near).alias("a"))
+    return x.select("source", "ord", told(F.col("b"), lambda v: v["page"] >= F.col("page") - pages).alias("before"), told(F.col("a"), lambda v: v["page"] <= F.col("page") + pages).alias("after"))
 
 
 def pair_links(tables: DataFrame) -> DataFrame:

@@ -117,8 +117,10 @@ def context_ids(secs: DataFrame, blocks: DataFrame) -> DataFrame:
     """Blocks within CONTEXT_PAGES pages before and after each section, as ordered lists of ord."""
     b = blocks.select("source", "ord", "page")
     s = secs.select("source", "sec", "a", "b", "page_start", "page_end")
-    near = ((F.col("ord") < F.col("a")) & (F.col("page") >= F.col("page_start") - CONTEXT_PAGES)) | ((F.col("ord") > F.col("b")) & (F.col("page") <= F.col("page_end") + CONTEXT_PAGES))
-    x = s.join(b, "source").where(near & F.col("page").between(F.col("page_start") - CONTEXT_PAGES, F.col("page_end") + CONTEXT_PAGES))
+    # only the pages next to either end can hold context: an equal join on these few pages instead of a range join
+    ends = F.array_union(F.sequence(F.col("page_start") - CONTEXT_PAGES, "page_start"), F.sequence(F.col("page_end"), F.col("page_end") + CONTEXT_PAGES))
+    near = ((F.col("ord") < F.col("a")) & (F.col("page") <= F.col("page_start"))) | ((F.col("ord") > F.col("b")) & (F.col("page") >= F.col("page_end")))
+    x = s.withColumn("page", F.explode(ends)).join(b, ["source", "page"]).where(near)
     side = lambda cond: F.array_join(F.array_sort(F.collect_list(F.when(cond, F.col("ord")))).cast("array<string>"), ",")
     got = x.groupBy("source", "sec").agg(side(F.col("ord") < F.col("a")).alias("before"), side(F.col("ord") > F.col("b")).alias("after"))
     return s.select("source", "sec").join(got, ["source", "sec"], "left").na.fill("", ["before", "after"])

@@ -88,12 +88,11 @@ def rec05_similar(spark, sf_dir):
     return reconcile.similar(_sorted(spark, sf_dir).withColumn("chunk", F.col("ord")))
 
 
-@query(SO + """, pick AS (SELECT source, ord, page FROM so WHERE ord % 25 = 7), x AS (SELECT a.source, a.ord, b.ord AS o FROM pick a JOIN so b ON a.source = b.source AND
+@query(SO + """, x AS (SELECT a.source, a.ord, b.ord AS o FROM so a LEFT JOIN so b ON a.source = b.source AND
 ((b.ord < a.ord AND b.ord >= a.ord - 5 AND b.page >= a.page - 3) OR (b.ord >= a.ord + 2 AND b.ord < a.ord + 7 AND b.page <= a.page + 3)))
 SELECT source, ord, COALESCE(string_agg(CAST(o AS VARCHAR), ',' ORDER BY o) FILTER (WHERE o < ord), '') AS before, COALESCE(string_agg(CAST(o AS VARCHAR), ',' ORDER BY o) FILTER (WHERE o > ord), '') AS after FROM x GROUP BY 1, 2""")
 def rec06_context(spark, sf_dir):
-    s = _sorted(spark, sf_dir)
-    return reconcile.duplicate_context(s, s.where("ord % 25 = 7"))
+    return reconcile.duplicate_context(_sorted(spark, sf_dir))
 
 
 def _tables(spark, sf_dir):

@@ -77,13 +77,12 @@ def dq14_audit(spark, sf_dir):
     return g.groupBy("source").agg(F.count_if(F.col("kind") == "document_numbering_skip").alias("n_skips"), F.count_if(F.col("kind") == "extraction_gap").alias("n_gaps"), F.sum("n_missing").alias("n_missing"))
 
 
-@query(SO + """, pick AS (SELECT source, ord, page FROM so WHERE ord % 25 = 7), x AS (SELECT a.source, a.ord, b.ord AS o FROM pick a JOIN so b ON a.source = b.source AND
-((b.ord < a.ord AND b.ord >= a.ord - 5 AND b.page >= a.page - 3) OR (b.ord >= a.ord + 2 AND b.ord < a.ord + 7 AND b.page <= a.page + 3))), g AS (SELECT source, ord, count(*) FILTER (WHERE o < ord) AS nb, count(*) FILTER (WHERE o > ord) AS na FROM x GROUP BY 1, 2)
-SELECT source, count(*) AS n, count(*) FILTER (WHERE nb = 0 OR na = 0) AS n_incomplete FROM g GROUP BY source""")
+@query(SO + """, n AS (SELECT source, ord, ord - min(ord) OVER (PARTITION BY source) AS nb, max(ord) OVER (PARTITION BY source) - ord - 1 AS na FROM so)
+SELECT source, count(*) AS n, count(*) FILTER (WHERE nb < 1 OR na < 1) AS n_alone FROM n GROUP BY source""")
 def dq16_context(spark, sf_dir):
-    s = _sorted(spark, sf_dir)
-    c = reconcile.duplicate_context(s, s.where("ord % 25 = 7"))
-    return c.groupBy("source").agg(F.count("*").alias("n"), F.count_if((F.col("before") == "") | (F.col("after") == "")).alias("n_incomplete"))
+    """Blocks without any neighbour to show on one side: the ends of a document only, if contexts are complete (no page limit here)."""
+    c = reconcile.duplicate_context(_sorted(spark, sf_dir), pages=10**6)
+    return c.groupBy("source").agg(F.count("*").alias("n"), F.count_if((F.col("before") == "") | (F.col("after") == "")).alias("n_alone"))
 
 
 @query(RP + " SELECT source, count(*) AS n_blocks, count(*) FILTER (WHERE content IS NULL OR page IS NULL OR block_type IS NULL) AS n_lacking FROM rp GROUP BY source")
