@@ -16,6 +16,7 @@ have equal fingerprints. Rows without doc_id come last in descending order; rows
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -29,6 +30,8 @@ PERIOD, CLASSES = 4096, 64
 SLOTS, LOWEST = 32, 16
 BAND, BANDS = 4, 32
 BLOCK_CHARS = 2_000_000
+#: Rows that walk together; a block of texts takes as many steps as its longest has characters.
+SLICE = 8192
 
 
 def _dwell() -> np.ndarray:
@@ -48,8 +51,13 @@ _STAY = _dwell()
 
 def steps_to(end: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Sampled steps, their strata and the strata's bounds, as far as step end; a longer walk has the same ones first."""
+    return _grid(max(0, (max(end, 1) - 1) // LOWEST).bit_length() + 1)
+
+
+@functools.lru_cache(64)
+def _grid(n: int):
     bounds = [(0, LOWEST)]
-    while bounds[-1][1] < end:
+    while len(bounds) < n:
         bounds.append((bounds[-1][1], 2 * bounds[-1][1]))
     at = [np.sort(a + (keys(40 + k, SLOTS) % np.uint64(b - a)).astype(np.int64)) for k, (a, b) in enumerate(bounds)]
     return np.concatenate(at), np.repeat(np.arange(len(bounds)), SLOTS), bounds
@@ -145,9 +153,9 @@ def _walked(batches):
     """Rows of sorted buckets (bucket, edge, doc_id, text): each row with the next one of its bucket."""
     carry = None  # bucket, edge, doc_id, text, fingerprint
     for b in batches:
-        for at in range(0, b.num_rows, 1024):
-            part = b.slice(at, 1024)
-            rows = [*zip(*(part.column(c).to_pylist() for c in range(3))), ]
+        for at in range(0, b.num_rows, SLICE):
+            part = b.slice(at, SLICE)
+            rows = [*zip(*(part.column(c).to_pylist() for c in range(3)))]
             texts = [t or "" for t in part.column(3).to_pylist()]
             own = [(*r, t) for r, t in zip(rows, texts)]
             if carry is not None:
@@ -199,10 +207,10 @@ def compared(docs: DataFrame) -> DataFrame:
 def _banded(batches):
     for b in batches:
         texts = [t or "" for t in b.column(1).to_pylist()]
-        for at in range(0, len(texts), 1024):
-            got = embed(texts[at : at + 1024])
+        for at in range(0, len(texts), SLICE):
+            got = embed(texts[at : at + SLICE])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(at, 1024), pa.array(list(map(told, got)), pa.string()), pa.array(list(map(bands, got)), pa.list_(pa.int64()))], ["doc_id", "fingerprint", "bands"]
+                [b.column(0).slice(at, SLICE), pa.array(list(map(told, got)), pa.string()), pa.array(list(map(bands, got)), pa.list_(pa.int64()))], ["doc_id", "fingerprint", "bands"]
             )
 
 
