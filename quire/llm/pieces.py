@@ -106,7 +106,7 @@ def _utf8_len(cp):
 
 
 def _lattice(v: Vocabulary, cps: np.ndarray, starts: np.ndarray, lens: np.ndarray):
-    """Edges into each node of all units, likeliest first: where a node's edges begin, cumulated shares, pieces and where they come from.
+    """Edges into each node of all units, longest first: where a node's edges begin, cumulated shares, pieces and where they come from.
 
     Node n of unit u (0 <= n <= its length) is starts[u] + u + n; cps is the units' characters, one unit after another."""
     unit = np.repeat(np.arange(len(lens)), lens)
@@ -136,30 +136,30 @@ def _lattice(v: Vocabulary, cps: np.ndarray, starts: np.ndarray, lens: np.ndarra
             break
         h = mix(h * _M + cps[p + k].astype(np.uint64))
     src, dst, piece, logp = (np.concatenate(x) for x in (src, dst, piece, logp))
+    # by end, longer pieces (mostly the likelier ones) first; each length's edges are in order already, which a merge sort uses
+    order = np.argsort(dst * 32 - (dst - src), kind="stable")
+    src, dst, piece, logp = src[order], dst[order], piece[order], logp[order]
     nodes = len(cps) + len(lens)
     first_node = starts + np.arange(len(lens))
-    rel = np.concatenate([np.arange(nodes) - np.repeat(first_node, lens + 1)])
-    order = np.lexsort((dst, rel[dst]))
-    src, dst, piece, logp = src[order], dst[order], piece[order], logp[order]
-    cuts = np.searchsorted(rel[dst], np.arange(1, int(lens.max()) + 2))
+    rel = (np.arange(nodes) - np.repeat(first_node, lens + 1))[dst]
+    steps = np.argsort(rel.astype(np.uint16) if lens.max() < 65536 else rel, kind="stable")
+    cuts = np.searchsorted(rel[steps], np.arange(1, int(lens.max()) + 2))
     alpha = np.full(nodes, -np.inf)
     alpha[first_node] = 0
     share = np.empty(len(src))
     for r in range(len(cuts) - 1):
-        a, b = cuts[r], cuts[r + 1]
-        if a == b:
+        own = steps[cuts[r] : cuts[r + 1]]
+        if not len(own):
             continue
-        w = alpha[src[a:b]] + logp[a:b]
-        d = dst[a:b]
+        w = alpha[src[own]] + logp[own]
+        d = dst[own]
         lead = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-        size = np.diff(np.append(lead, b - a))
+        size = np.diff(np.append(lead, len(own)))
         top = np.maximum.reduceat(w, lead)
         x = np.exp(w - np.repeat(top, size))
         total = np.add.reduceat(x, lead)
         alpha[d[lead]] = top + np.log(total)
-        share[a:b] = x / np.repeat(total, size)
-    order = np.lexsort((piece, -share, dst))
-    src, dst, piece, share = src[order], dst[order], piece[order], share[order]
+        share[own] = x / np.repeat(total, size)
     first = np.searchsorted(dst, np.arange(nodes + 1))
     run = np.concatenate([[0.0], np.cumsum(share)])
     within = run[1:] - run[first[dst]]
@@ -167,6 +167,10 @@ def _lattice(v: Vocabulary, cps: np.ndarray, starts: np.ndarray, lens: np.ndarra
     return first, within, piece, src
 
 
+def _steps(n: int) -> np.uint64:
+    return np.uint64(((n + 1) * int(_S)) & 0xFFFFFFFFFFFFFFFF)
+
+
 def encode_block(v: Vocabulary, cps: np.ndarray, offs: np.ndarray, row_keys: np.ndarray):
     """Pieces of texts (code points, blanks as they are) as one array of ids and where each text's begin."""
     n_texts = len(offs) - 1
@@ -204,7 +208,7 @@ def encode_block(v: Vocabulary, cps: np.ndarray, offs: np.ndarray, row_keys: np.
     got_unit, got_piece, got_step = [], [], []
     step = 0
     while len(live):
-        u = (mix(seed[live] + np.uint64(step + 1) * _S) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        u = (mix(seed[live] + _steps(step)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
         e = first[node]
         left = np.flatnonzero(within[e] <= u)
         while len(left):
