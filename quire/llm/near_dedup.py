@@ -38,6 +38,8 @@ REGION = 16
 SKETCH = 128
 #: Rows of a sorted run in one task.
 RUN_ROWS = 400_000
+#: Edges that one task contracts.
+LOCAL_EDGES = 500_000
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int = SHINGLE):
@@ -205,12 +207,47 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int) ->
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
 
 
+def _contracted(batches):
+    """Stars of the components of one task's edges: labels fall to the smallest node, with pointer jumping."""
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    t = pa.Table.from_batches(got)
+    nodes, at = np.unique(np.concatenate([t["u"].to_numpy(), t["v"].to_numpy()]), return_inverse=True)
+    a, b = at[: t.num_rows], at[t.num_rows :]
+    up = np.arange(len(nodes))
+    while True:
+        ra, rb = up[a], up[b]
+        if (ra == rb).all():
+            break
+        m = np.minimum(ra, rb)
+        np.minimum.at(up, ra, m)
+        np.minimum.at(up, rb, m)
+        while (up[up] != up).any():
+            up = up[up]
+    child = np.flatnonzero(up != np.arange(len(nodes)))
+    for i in range(0, len(child), 100_000):
+        k = child[i : i + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[k]), pa.array(nodes[up[k]])], ["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the edges (a, b): root is the smallest node that it reaches.
 
-    Large and small stars in turn until nothing changes; every round is checkpointed, and hubs are joined with
-    exchanges that adaptive execution can split."""
-    e = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    Tasks of at most about LOCAL_EDGES edges first contract what they hold to stars. If that took more than one task, large and
+    small stars in turn join these until nothing changes; every round is checkpointed, and hubs are joined with exchanges
+    that adaptive execution can split."""
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    parts = e.count() // LOCAL_EDGES + 1
+    e = settle(e.repartition(parts).mapInArrow(_contracted, "u bigint, v bigint"))
+    return _starred(e if parts == 1 else _joined_stars(e))
+
+
+def _starred(e: DataFrame) -> DataFrame:
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def _joined_stars(e: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -223,7 +260,7 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(now) == seen:
             break
         seen = tuple(now)
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    return e
 
 
 def _rooted(pairs: DataFrame, comp: DataFrame) -> DataFrame:

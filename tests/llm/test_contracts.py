@@ -118,8 +118,12 @@ def test_near_dedup_dense_region(spark):
     assert {i: r["component_id"] for i, r in got.items()} == want and len(set(want.values())) > 20
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [500_000, 40])
+def test_components(spark, monkeypatch, most):
+    """In one task, and in several whose stars are then joined."""
+    monkeypatch.setattr(near_dedup, "LOCAL_EDGES", most)
     edges = [(k, k + 1) for k in range(199) if k % 50 != 49] + [(500, k) for k in range(501, 600)] + [(7, 7)]
+    RND.shuffle(edges)
     got = {r["node"]: r["root"] for r in near_dedup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert all(got[k] == (k - k % 50 if k < 200 else 500) for k in got) and len(got) == 300
 
