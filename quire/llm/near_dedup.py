@@ -278,19 +278,23 @@ def near_dedup(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> Da
     groups = settle(groups)
     found = settle(forest(groups, percent))
     pairs = settle(found.where("not dense").groupBy("a", "b").agg(F.max("x").alias("x")))
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("x", -F.col("a"))).alias("a")).select("a", "b")
-    same_id = spread_join(some.select("doc_id", "hi", "lo"), groups.select("hi", "lo", F.col("doc_id").alias("rep")), ["hi", "lo"]).where("doc_id <> rep")
+    best = settle(pairs.groupBy("b").agg(F.max_by("a", F.struct("x", -F.col("a"))).alias("a")).select("a", "b"))
     edges = settle(confirmed(docs, best, percent, shingle))
     comp = components(edges)
     rest = settle(_rooted(pairs, comp).where("ra <> rb").select("a", "b"))
     if rest.take(1):
         edges = settle(edges.unionByName(confirmed(docs, rest, percent, shingle)))
         comp = components(edges)
-    edges = _dense(docs, found.where("dense").select(F.col("a").alias("region"), F.col("b").alias("doc_id")), comp, edges, percent, shingle)
-    # repeated ids with several sets tie these together
-    repeated = some.groupBy("doc_id").agg(F.min_by(F.struct("hi", "lo"), F.struct("hi", "lo")).alias("m"), F.max(F.struct("hi", "lo")).alias("x")).where("m <> x").select("doc_id")
-    tied = same_id.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comp = settle(components(edges.unionByName(tied)))
+    more = _dense(docs, found.where("dense").select(F.col("a").alias("region"), F.col("b").alias("doc_id")), comp, percent, shingle)
+    # a repeated id with several sets ties these together
+    repeated = settle(some.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("m"), F.max(F.struct("hi", "lo")).alias("x")).where("m <> x").select("doc_id"))
+    if repeated.take(1):
+        reps = groups.select("hi", "lo", F.col("doc_id").alias("b"))
+        tied = spread_join(semi(some.select("doc_id", "hi", "lo"), repeated, "doc_id"), reps, ["hi", "lo"]).select(F.col("doc_id").alias("a"), "b")
+        more = tied if more is None else more.unionByName(tied)
+    if more is not None:
+        comp = components(settle(edges.unionByName(more)))
+    comp = settle(comp)
     top = spread_join(groups.select("hi", "lo", "doc_id"), comp.toDF("doc_id", "root"), "doc_id", "left").select("hi", "lo", F.coalesce("root", "doc_id").alias("component_id"))
     out = spread_join(sig.drop("sig"), top, ["hi", "lo"], "left")
     alone = F.col("n_shingles") == 0
@@ -325,17 +329,20 @@ def _cell_links(percent):
     return run
 
 
-def _dense(docs, rows, comp, edges, percent, shingle):
-    """Step 4: links between components inside dense regions. Regions with the same largest component form a group; the rows
+def _dense(docs, rows, comp, percent, shingle):
+    """Step 4: links between components inside dense regions, or None without such regions. Regions with the same largest component form a group; the rows
     outside that component meet all rows of the group in cells of bounded size, which count common shingles and give out confirmed links only."""
+    if not rows.take(1):
+        return None
     rows = settle(spread_join(rows.select("region", "doc_id").distinct(), comp.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")))
     parts = rows.groupBy("region", "root").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("region", "main")
     own = settle(spread_join(rows, mixed, "region").select("main", "doc_id", "root").distinct())
     odd = own.where("root <> main")
     count = own.groupBy("main").agg(F.ceil(F.count("*") / CELL_ROWS).cast("bigint").alias("nr"), F.ceil(F.count_if(F.col("root") != F.col("main")) / CELL_ODD).cast("bigint").alias("no")).where("no > 0")
+    count = settle(count)
     if not count.take(1):
-        return edges
+        return None
     ids = own.select("doc_id").distinct()
     sets = semi(bound(docs, {"doc_id": "bigint", "text": "string"}), settle(ids), "doc_id").mapInArrow(lambda it: _sets(it, shingle), "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
     sets = settle(sets)
@@ -345,8 +352,7 @@ def _dense(docs, rows, comp, edges, percent, shingle):
     cell = ["main", "o", "r"]
     both = left.withColumn("odd", F.lit(True)).unionByName(right.withColumn("odd", F.lit(False)))
     links = _cell_links(percent)
-    more = both.groupBy(*cell).applyInPandas(lambda x: links(x[x["odd"]], x[~x["odd"]]), "a bigint, b bigint")
-    return settle(edges.unionByName(more))
+    return both.groupBy(*cell).applyInPandas(lambda x: links(x[x["odd"]], x[~x["odd"]]), "a bigint, b bigint")
 
 
 def kept_documents(docs: DataFrame, percent: int = 85) -> DataFrame:
