@@ -105,7 +105,7 @@ def _tables(spark, sf_dir):
 TB = OT + ", tb AS (SELECT doc, page, list(item ORDER BY ord) AS rows, count(*) AS n_rows, arg_min(flag, ord) AS header, count(*) = 3 AS is_truncated, page > 1 AS is_continuation FROM ot GROUP BY 1, 2)"
 
 
-@query()
+@query(OT + " SELECT doc, count(*) AS n_rows, CAST(arg_min(item, ord) AS VARCHAR) AS first_cell FROM ot GROUP BY doc")
 def rec07_table_rows(spark, sf_dir):
     """Cells written as a Python list literal, parsed back."""
     t = tables.order_rows(spark, sf_dir).withColumn("cell", F.concat(F.lit("['"), F.col("item").cast("string"), F.lit("', '"), F.col("flag"), F.lit("']")))
