@@ -23,6 +23,8 @@ from .native import lower_ascii
 #: Fixed rules: verdict, host, path.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.001, 0.5, 3
+#: A rule also needs so many labelled rows; a share of a small table alone would let single rows make rules.
+MIN_ROWS = 20
 
 
 def _rest(url: Column) -> Column:
@@ -65,9 +67,10 @@ def tokens(url: Column) -> Column:
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[dict]:
     """Rules from labelled URLs (url, verdict): tokens, verdict, sure."""
     rows = settle(labelled.where("verdict is not null").select(F.array_append(tokens(F.col("url")), F.concat(F.lit("v:"), "verdict")).alias("items")))
-    if not rows.take(1):
+    n = rows.count()
+    if not n:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_ROWS / n)), minConfidence=min_confidence).fit(rows)
     kept = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("v:")) & (F.size("antecedent") <= MAX_TOKENS))
     got = kept.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 3, 99).alias("verdict"), F.col("confidence").alias("sure")).collect()
     best: dict = {}
@@ -91,8 +94,10 @@ def judge(pages: DataFrame, mined: list[dict], key: str = "page_id") -> DataFram
     if mined:
         met = F.flatten(F.transform(tokens(F.col("url")), lambda t: F.coalesce(by_token[t], F.array().cast("array<int>"))))
         x = x.withColumn("met", F.when(F.col("listed").isNull(), F.array_sort(met)))
-        held = F.filter(F.array_distinct("met"), lambda i: F.size(F.filter(F.col("met"), lambda j: i == j)) == table[i]["n"])
-        sure = lambda v: F.coalesce(F.array_max(F.transform(F.filter(held, lambda i: table[i]["verdict"] == v), lambda i: table[i]["sure"])), F.lit(0.0))
+        # in the sorted list a rule of n tokens holds if it stands there n times: looked up at its first place, n - 1 places on
+        first = lambda i, k: (k == 0) | (F.get("met", k - 1) != i)
+        x = x.withColumn("held", F.transform(F.filter("met", lambda i, k: first(i, k) & (F.get("met", k + table[i]["n"] - 1) == i)), lambda i: table[i]))
+        sure = lambda v: F.coalesce(F.array_max(F.transform(F.filter("held", lambda r: r["verdict"] == v), lambda r: r["sure"])), F.lit(0.0))
         other = F.when(sure("block") > sure("allow"), "block").otherwise("allow")
     else:
         other = F.lit("allow")
