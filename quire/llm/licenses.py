@@ -1,8 +1,9 @@
 """Licence notices by ordered signature rules, with built-in functions only.
 
 A text becomes its words (runs of other than ASCII punctuation, white space and controls; A-Z lower-cased) joined by one
-space. Texts without any licence keyword stop there. In the others, windows around keywords are taken; each distinct
-window meets the rules whose own keyword it contains. Of overlapping detections a span inside a longer one goes, and of
+space. Texts without any licence keyword stop there. In the others, windows are the longest runs of words that occur in
+rules, so a notice of any length and place lies whole in one window, and windows don't touch; each distinct window meets the
+rules whose own keyword it contains, at all their places. Of overlapping detections a span inside a longer one goes, and of
 equal or crossing ones the rule of the better priority stays. The three base phrases are placed exactly over the whole text, and
 their labels always stay.
 
@@ -12,6 +13,7 @@ Rules come from a grammar: every licence's names in every form of notice. Null c
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +82,8 @@ FORMS = [
 ]
 KEYWORDS = "licen[cs]|spdx|public domain|creative commons|cc0|gpl"
 ANY = f"(?i){KEYWORDS}"
-WINDOW = f"(?:[^ ]++ ){{0,8}}[^ ]*(?:{KEYWORDS})[^ ]*(?: [^ ]++){{0,10}}"
+#: Hits on either side, by place, that a hit is compared with: more than can overlap it, as a match has at most 17 words and at most four rules match from one on.
+NEAR = 100
 
 
 def rules() -> list[dict]:
@@ -92,14 +95,35 @@ def rules() -> list[dict]:
     return [r | {"pri": i} for i, r in enumerate(out)]
 
 
+def _window() -> str:
+    """The longest runs of words that rules can match; free words of rules count where their next words follow."""
+    own = set()
+    for x in [f for f, _ in FORMS] + [y for _, _, name, spdx in FAMILIES for y in (name, spdx)]:
+        own |= {w for w in re.sub(r"\(\?:|\)\??|\|", " ", x).split() if re.match("[a-z0-9]", w) and w not in ("N", "S")}
+    word = f"(?:(?:{'|'.join(sorted(own, key=lambda w: (-len(w), w)))}|(?:gpl)?v?[0-9]+)(?![^ ])|[a-z]++(?= (?:under|you want to public)(?![^ ])))"
+    return f"(?<![^ ]){word}(?: {word})*+"
+
+
+WINDOW = _window()
+
+
 def _spaces(x: Column) -> Column:
     return (F.char_length(x) - F.char_length(F.replace(x, F.lit(" "), F.lit("")))).cast("bigint")
 
 
 def _detected(window: Column, table: Column) -> Column:
     """Rules that hold in a window, less those that others suppress."""
-    hits = F.filter(table, lambda r: F.instr(window, r["kw"]) > 0)
-    hits = F.filter(F.transform(hits, lambda r: F.struct(r["label"].alias("label"), r["sure"].alias("sure"), r["pri"].alias("pri"), F.regexp_instr(window, r["re"]).alias("s"), F.char_length(F.regexp_substr(window, r["re"])).alias("n"))), lambda h: h["s"] > 0)
+    rules_of = F.filter(table, lambda r: F.instr(window, r["kw"]) > 0)
+
+    def places(r):
+        """A struct for each match; what stands between matches and the matches add up to its place."""
+        own = F.transform(F.regexp_extract_all(window, r["re"], F.lit(0)), F.char_length)
+        steps = F.zip_with(F.slice(F.transform(F.split(window, r["re"], -1), F.char_length), 1, F.size(own)), own, lambda b, n: F.struct(b.alias("b"), n.alias("n")))
+        none = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<s:int,n:int>>").alias("out"))
+        got = F.aggregate(steps, none, lambda a, x: F.struct((a["at"] + x["b"] + x["n"]).alias("at"), F.array_append(a["out"], F.struct((a["at"] + x["b"]).alias("s"), x["n"].alias("n"))).alias("out")))
+        return F.transform(got["out"], lambda h: F.struct(h["s"].alias("s"), h["n"].alias("n"), r["label"].alias("label"), r["sure"].alias("sure"), r["pri"].alias("pri")))
+
+    hits = F.array_sort(F.flatten(F.transform(rules_of, places)))
 
     def beaten(h):
         def by(o):
@@ -109,7 +133,7 @@ def _detected(window: Column, table: Column) -> Column:
 
         return lambda hs: F.exists(hs, by)
 
-    return F.transform(F.array(hits), lambda hs: F.filter(hs, lambda h: ~beaten(h)(hs)))[0]
+    return F.transform(F.array(hits), lambda hs: F.filter(hs, lambda h, i: ~beaten(h)(F.slice(hs, F.greatest(i + 1 - NEAR, F.lit(1)), 2 * NEAR))))[0]
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -127,7 +151,7 @@ def scan(docs: DataFrame) -> DataFrame:
         last.append(F.when(some, F.col("n_words") - _spaces(F.element_at(p, -1)) - len(phrase.split())))
         own.append(F.when(some, F.lit(label)))
     table = F.from_json(F.lit(json.dumps(rules())), "array<struct<kw:string,re:string,label:string,sure:double,pri:int>>")
-    windows = F.array_distinct(F.regexp_extract_all("low", F.lit(WINDOW), F.lit(0)))
+    windows = F.filter(F.array_distinct(F.regexp_extract_all("low", F.lit(WINDOW), F.lit(0))), lambda w: w.contains(" "))  # every rule has two words
     x = x.select("doc_id", "n_words", sum(n[1:], n[0]).alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), F.array_sort(F.array_distinct(F.array_compact(F.array(*own)))).alias("base"), F.when(F.col("low").isNotNull(), F.flatten(F.transform(windows, lambda w: _detected(w, table)))).alias("hits"))
     more = F.coalesce(F.transform("hits", lambda h: h["label"]), F.array().cast("array<string>"))
     best = F.coalesce(F.array_max(F.transform("hits", lambda h: h["sure"])), F.lit(0.0))

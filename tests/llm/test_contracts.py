@@ -89,6 +89,17 @@ def test_longer_span_suppresses(spark):
     assert got[2]["labels"] == "bsd-3"
 
 
+def test_license_notices_lie_whole_in_windows(spark):
+    """Notices right behind other keywords, and rules whose first place is suppressed but not the second."""
+    own = {
+        "This license notice applies to all files in the tree. SPDX-License-Identifier: MPL-2.0": "mpl",
+        "The license of this and of the other files here is that it is licensed under the zlib license": "zlib",
+        "under the new BSD license, and for all others the BSD license": "bsd,bsd-3",
+    }
+    got = rows(licenses.scan(spark.createDataFrame(list(enumerate(own)), "doc_id bigint, text string")))
+    assert [got[i]["labels"] for i in range(len(own))] == list(own.values())
+
+
 def test_near_dedup(docs, empty):
     got = rows(near_dedup.near_dedup(docs))
     want = brute.near(DOCS)
