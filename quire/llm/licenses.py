@@ -1,7 +1,7 @@
 """Licence notices by ordered signature rules, with built-in functions only.
 
 A text becomes its words (runs of other than ASCII punctuation, white space and controls; A-Z lower-cased) joined by one
-space. Texts without any licence keyword stop there. In the others, windows are the longest runs of words that occur in
+space. Texts without any word that a form of notice needs stop there. In the others, windows are the longest runs of words that occur in
 rules, so a notice of any length and place lies whole in one window, and windows don't touch; each distinct window meets the
 rules whose own keyword it contains, at all their places. Of overlapping detections a span inside a longer one goes, and of
 equal or crossing ones the rule of the better priority stays. The three base phrases are placed exactly over the whole text, and
@@ -57,8 +57,8 @@ FAMILIES = [
     ("odbl", "open database", "open database", "odbl 1 0"),
     ("odc-by", "open data commons", "open data commons attribution", "odc by 1 0"),
     ("cc0", "cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
-    ("cc-by-nc-sa", "nc sa", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial) (?:sa|sharealike)(?: [1234] [05])?", "cc by nc sa [1234] [05]"),
-    ("cc-by-nc-nd", "nc nd", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial) (?:nd|noderivatives)(?: [1234] [05])?", "cc by nc nd [1234] [05]"),
+    ("cc-by-nc-sa", "c", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial) (?:sa|sharealike)(?: [1234] [05])?", "cc by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", "c", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial) (?:nd|noderivatives)(?: [1234] [05])?", "cc by nc nd [1234] [05]"),
     ("cc-by-nc", "by nc", "cc by nc(?: [1234] [05])?", "cc by nc [1234] [05]"),
     ("cc-by-nc", "noncommercial", "(?:cc|creative commons) attribution noncommercial(?: [1234] [05])?", "cc by nc [1234] [05]"),
     ("cc-by-sa", "by sa", "cc by sa(?: [1234] [05])?", "cc by sa [1234] [05]"),
@@ -80,8 +80,10 @@ FORMS = [
     ("(?:N) licen[cs]e(?: agreement)?(?: version)?(?: v?[0-9]+(?: [0-9]+)?)?", 0.9),
     ("licen[cs]e (?:type )?(?:N)", 0.85),
 ]
-KEYWORDS = "licen[cs]|spdx|public domain|creative commons|cc0|gpl"
-ANY = f"(?i){KEYWORDS}"
+#: What each form must contain, in the same order; a text or window without any of these meets no rule.
+NEEDED = ["spdx license identifier", "licen[cs]ed under", "under", "subject to|covered by|governed by", "(?:dedicated|placed|released) (?:to|in|into) the", "licen[cs]e", "licen[cs]e"]
+GATE = f"(?<![^ ])(?:{'|'.join(dict.fromkeys(NEEDED))})(?![^ ])"
+ANY = f"(?i){GATE}"
 #: Hits on either side, by place, that a hit is compared with: more than can overlap it, as a match has at most 17 words and at most four rules match from one on.
 NEAR = 100
 
@@ -151,7 +153,7 @@ def scan(docs: DataFrame) -> DataFrame:
         last.append(F.when(some, F.col("n_words") - _spaces(F.element_at(p, -1)) - len(phrase.split())))
         own.append(F.when(some, F.lit(label)))
     table = F.from_json(F.lit(json.dumps(rules())), "array<struct<kw:string,re:string,label:string,sure:double,pri:int>>")
-    windows = F.filter(F.array_distinct(F.regexp_extract_all("low", F.lit(WINDOW), F.lit(0))), lambda w: w.contains(" "))  # every rule has two words
+    windows = F.filter(F.array_distinct(F.regexp_extract_all("low", F.lit(WINDOW), F.lit(0))), lambda w: w.rlike(GATE))
     x = x.select("doc_id", "n_words", sum(n[1:], n[0]).alias("n_base"), F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), F.array_sort(F.array_distinct(F.array_compact(F.array(*own)))).alias("base"), F.when(F.col("low").isNotNull(), F.flatten(F.transform(windows, lambda w: _detected(w, table)))).alias("hits"))
     more = F.coalesce(F.transform("hits", lambda h: h["label"]), F.array().cast("array<string>"))
     best = F.coalesce(F.array_max(F.transform("hits", lambda h: h["sure"])), F.lit(0.0))

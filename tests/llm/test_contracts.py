@@ -100,6 +100,20 @@ def test_license_notices_lie_whole_in_windows(spark):
     assert [got[i]["labels"] for i in range(len(own))] == list(own.values())
 
 
+def test_license_gate_lets_every_form_through(spark):
+    own = {
+        "Released under the Boost Software terms": "boost",
+        "distributed under the MIT": "mit",
+        "released under CC BY-SA 4.0": "cc-by-sa",
+        "governed by the Mozilla Public": "mpl",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 licence": "cc-by-nc-sa",
+        "under the tree": "",
+    }
+    got = rows(licenses.scan(spark.createDataFrame(list(enumerate(own)), "doc_id bigint, text string")))
+    assert [got[i]["labels"] for i in range(len(own))] == list(own.values())
+    assert all((got[i]["score"] > 0) == bool(x) for i, x in enumerate(own.values()))
+
+
 def test_near_dedup(docs, empty):
     got = rows(near_dedup.near_dedup(docs))
     want = brute.near(DOCS)
