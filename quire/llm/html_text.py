@@ -4,10 +4,13 @@ A page is read once into blocks: the text between two block tags, with its share
 the page's article, and whether it stands in something that is no article text by its tag (menus, footers, forms,
 scripts ...), its role or the words of its class or id (advert, sidebar, comments ...); those blocks are left out.
 
-First pass, each block by itself: mostly linked text is bad; text in an article is good; else stop-word density and length
-decide between good, near good and bad, and blocks of few characters stay open. Second pass: near good blocks become good beside
+First pass, each block by itself: mostly linked text is bad; else stop-word density and length decide between good, near good
+and bad, and blocks of few characters stay open. Standing in an article is a prior: it lifts near good to good, bad to
+near good and bad short blocks to open, and a heading is never bad for its links. Second pass: near good blocks become good beside
 a good one; open blocks take the label of their nearest decided neighbours (where both sides differ, the nearer one's; at
-equal distance, good only beside a good heading or text before). If the page marks an article with text, what is outside is bad.
+equal distance, good only beside a good heading or text before); in an article both are bad only between two bad ones. Where
+a page marks an article with text, neighbours are those on the same side of its border, and outside near good blocks
+without any decided neighbour are bad.
 
 White space in a block becomes one space; blocks are joined by one line feed; nothing else is dropped or cut. Null or empty html, and
 pages without main text, give an empty text. Repeated rows are read alike. Unclosed tags, comments and quotes are read as far as
@@ -187,25 +190,21 @@ def blocks_of(page: str) -> list[_Block]:
 
 def _first(text: str, b: _Block) -> str:
     share = b.linked / max(1, len(text))
-    if b.main:
-        return "good"
-    if share > LINKED:
+    if share > LINKED and not (b.main and b.heading):
         return "bad"
     if len(text) < SHORT:
-        return "bad" if share > 0 else "open"
+        return "bad" if share > 0 and not b.main else "open"
     ws = text.lower().split()
     density = sum(w.strip(".,;:!?()\"'") in STOP for w in ws) / max(1, len(ws))
     if density >= MANY:
-        return "good" if len(text) > LONG else "near"
-    return "near" if density >= SOME else "bad"
+        return "good" if len(text) > LONG or b.main else "near"
+    if density >= SOME:
+        return "good" if b.main else "near"
+    return "near" if b.main else "bad"
 
 
-def main_text(page: str | None) -> str:
-    got = [(" ".join("".join(b.parts).split()), b) for b in blocks_of(page or "")]
-    got = [(t, b) for t, b in got if t]
-    if any(b.main for _, b in got):
-        got = [(t, b) for t, b in got if b.main]
-    labels = [_first(t, b) for t, b in got]
+def _second(labels: list[str], got: list[tuple[str, _Block]], prior: bool | None) -> list[str]:
+    """Final labels of blocks of one side; prior: whether that is an article's (None: no article on the page)."""
     n = len(labels)
     # near good blocks: good unless both decided neighbours are bad
     before, last = [None] * n, None
@@ -216,7 +215,15 @@ def main_text(page: str | None) -> str:
     for i in range(n - 1, -1, -1):
         after[i] = last
         last = labels[i] if labels[i] in ("good", "bad") else last
-    labels = [("bad" if {before[i], after[i]} <= {"bad", None} and "bad" in (before[i], after[i]) else "good") if x == "near" else x for i, x in enumerate(labels)]
+
+    def settled(a, b):
+        if prior:
+            return "bad" if a == b == "bad" else "good"
+        if a is None and b is None:
+            return "good" if prior is None else "bad"
+        return "bad" if {a, b} <= {"bad", None} else "good"
+
+    labels = [settled(before[i], after[i]) if x == "near" else x for i, x in enumerate(labels)]
     left, right = [None] * n, [None] * n
     for seq, to in ((range(n), left), (range(n - 1, -1, -1), right)):
         at = None
@@ -228,7 +235,9 @@ def main_text(page: str | None) -> str:
         if x == "open":
             a, b = left[i], right[i]
             near = [j for j in (a, b) if j is not None]
-            if not near:
+            if prior:
+                final[i] = "bad" if len(near) == 2 and labels[a] == labels[b] == "bad" else "good"
+            elif not near:
                 final[i] = "bad"
             elif len({labels[j] for j in near}) == 1:
                 final[i] = labels[near[0]]
@@ -236,7 +245,19 @@ def main_text(page: str | None) -> str:
                 final[i] = labels[a] if i - a < b - i else labels[b]
             else:
                 final[i] = "good" if labels[a] == "good" or got[i][1].heading else "bad"
-    return "\n".join(t for (t, _), x in zip(got, final) if x == "good")
+    return final
+
+
+def main_text(page: str | None) -> str:
+    got = [(" ".join("".join(b.parts).split()), b) for b in blocks_of(page or "")]
+    got = [(t, b) for t, b in got if t]
+    labels = [_first(t, b) for t, b in got]
+    marked = any(b.main for _, b in got)
+    for side in (True, False):
+        own = [i for i, (_, b) in enumerate(got) if b.main == side]
+        for i, x in zip(own, _second([labels[i] for i in own], [got[i] for i in own], side if marked else None)):
+            labels[i] = x
+    return "\n".join(t for (t, _), x in zip(got, labels) if x == "good")
 
 
 def extractor():

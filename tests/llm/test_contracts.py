@@ -353,6 +353,16 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_article_is_a_prior_not_a_verdict():
+    """A teaser article leaves the text outside; a link list inside an article goes, text around it stays."""
+    long = "This is the text of a page that is as long as it can be for the sake of the test that we have here and it goes on. " * 3
+    teaser = f"<article><p>Read more of this.</p></article><div><h2>Title here</h2><p>{long}</p><p>{long}</p></div><div>Imprint</div>"
+    assert html_text.main_text(teaser).split("\n")[:4] == ["Read more of this.", "Title here", long.strip(), long.strip()]
+    links = "".join(f"<li><a href=/{k}>Another story about number {k}</a></li>" for k in range(5))
+    inside = f"<article><h1><a href=/>Head</a></h1><p>{long}</p><ul>{links}</ul><p>The end.</p></article><p>Short line outside</p>"
+    assert html_text.main_text(inside).split("\n") == ["Head", long.strip(), "The end."]
+
+
 def test_cell_links_are_exact():
     import pandas as pd
 
