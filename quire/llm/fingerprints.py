@@ -18,18 +18,22 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound, keys, mix, partitions
+from .common import bound, keys, mix, partitions, settle, spread_join
 
 PERIOD, CLASSES = 4096, 64
 SLOTS, LOWEST = 32, 16
 BAND, BANDS = 4, 32
 BLOCK_CHARS = 2_000_000
+#: Rows of one salted group of a band.
+CELL = 500
 #: Rows that walk together; a block of texts takes as many steps as its longest has characters.
 SLICE = 8192
 
@@ -219,20 +223,60 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return bound(docs, {"doc_id": "bigint", "text": "string"}).mapInArrow(_banded, "doc_id bigint, fingerprint string, bands array<bigint>")
 
 
-def near_pairs(docs: DataFrame, least: float = 0.4, most_edits: int = 200) -> DataFrame:
-    """(a, b, likeness, edits): rows whose fingerprints share a band, verified by likeness and by edit distance.
-
-    Rows of equal fingerprints meet as one, represented by the smallest doc_id; within a band each row is compared
-    with the next two by doc_id, so a band of any size gives two pairs a row at most."""
-    fps = fingerprints(docs).where("doc_id is not null")
-    one = fps.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    w = Window.partitionBy("band").orderBy("doc_id")
-    each = one.select("doc_id", "fingerprint", F.explode("bands").alias("band"))
-    row = F.struct("doc_id", "fingerprint")
-    nxt = each.select(row.alias("x"), F.lead(row, 1).over(w).alias("y1"), F.lead(row, 2).over(w).alias("y2"))
-    pairs = nxt.select("x", F.explode(F.array("y1", "y2")).alias("y")).where("y is not null").select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.fingerprint").alias("fa"), F.col("y.fingerprint").alias("fb")).distinct()
-    alike = F.arrow_udf(lambda p, q: pa.array([likeness(read(s), read(t)) for s, t in zip(p.to_pylist(), q.to_pylist())], pa.float64()), "double")
-    pairs = pairs.withColumn("likeness", alike("fa", "fb")).where(F.col("likeness") >= least).drop("fa", "fb")
-    t = bound(docs, {"doc_id": "bigint", "text": "string"})
-    both = pairs.join(t.toDF("a", "ta"), "a").join(t.toDF("b", "tb"), "b")
-    return both.withColumn("edits", F.levenshtein("ta", "tb", most_edits)).where("edits >= 0").drop("ta", "tb").distinct()
+def equal_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_sha256, same_as) of each row with doc_id: same_as is the smallest doc_id with the very same text (null counts as empty)."""
+    rows = bound(docs, {"doc_id": "bigint", "text": "string"}).where("doc_id is not null").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return spread_join(rows, rows.groupBy("text_sha256").agg(F.min("doc_id").alias("same_as")), "text_sha256").select("doc_id", "text_sha256", "same_as")
+
+
+def _cell_pairs(least):
+    """Of one cell of a band: pairs of its two sides (within one side if both are the same) at the first band that the two share."""
+
+    def run(x: pd.DataFrame) -> pd.DataFrame:
+        band = int(x["band"].iloc[0])
+        rows = [(k, i, read(f), set(map(int, b)), side) for k, i, f, b, side in zip(x["key"], x["doc_id"], x["fingerprint"], x["bands"], x["side"])]
+        one, two = [r for r in rows if r[4] == 0], [r for r in rows if r[4] == 1]
+        out = []
+        pairs = itertools.combinations(one, 2) if x["lo"].iloc[0] == x["hi"].iloc[0] else ((p, q) for p in one for q in two)
+        for p, q in pairs:
+            if min(p[3] & q[3]) != band:
+                continue
+            like = likeness(p[2], q[2])
+            if like >= least:
+                p, q = sorted((p, q), key=lambda r: (r[1], r[0]))
+                out.append((p[0], q[0], p[1], q[1], like))
+        return pd.DataFrame(out, columns=["ka", "kb", "a", "b", "likeness"])
+
+    return run
+
+
+def near_pairs(docs: DataFrame, least: float = 0.4, most_edits: int = 200, edit_share: float = 0.1) -> DataFrame:
+    """(a, b, likeness, edits): different texts whose fingerprints share a band, verified by likeness and by edit distance, which
+    may be most_edits, or edit_share of the longer text if that is more.
+
+    Equal texts meet as one, represented by the smallest doc_id (equal_texts tells which); fingerprints that are equal for different
+    texts stay apart. All rows of a band meet: a band is cut into salted groups of about CELL rows, and each two
+    groups, and each group with itself, are one cell. The cells of a band are as many as the square of its groups."""
+    t = bound(docs, {"doc_id": "bigint", "text": "string"}).where("doc_id is not null").withColumn("text", F.coalesce("text", F.lit("")))
+    one = settle(t.groupBy(F.sha2("text", 256).alias("key")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text")))
+    prints = one.select("key", "doc_id", "text").mapInArrow(_banded_keys, "key string, doc_id bigint, fingerprint string, bands array<bigint>")
+    each = settle(prints.select("key", "doc_id", "fingerprint", "bands", F.explode(F.array_distinct("bands")).alias("band")))
+    count = each.groupBy("band").agg(F.ceil(F.count("*") / CELL).cast("int").alias("groups"), F.count("*").alias("n")).where("n > 1").drop("n")
+    own = spread_join(each, count, "band").withColumn("g", F.pmod(F.xxhash64("key"), F.col("groups")).cast("int"))
+    cells = own.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    cells = cells.select("key", "doc_id", "fingerprint", "bands", "band", F.least("g", "h").alias("lo"), F.greatest("g", "h").alias("hi"), F.when(F.col("g") > F.col("h"), 1).otherwise(0).alias("side"))
+    pairs = cells.groupBy("band", "lo", "hi").applyInPandas(_cell_pairs(least), "ka string, kb string, a bigint, b bigint, likeness double")
+    texts = one.select("key", "text")
+    both = pairs.join(texts.toDF("ka", "ta"), "ka").join(texts.toDF("kb", "tb"), "kb")
+    bound_of = F.greatest(F.lit(most_edits), (F.greatest(F.char_length("ta"), F.char_length("tb")) * edit_share).cast("int"))
+    return both.withColumn("most", bound_of).withColumn("edits", F.expr("levenshtein(ta, tb, most)")).where("edits >= 0").select("a", "b", "likeness", "edits")
+
+
+def _banded_keys(batches):
+    for b in batches:
+        texts = [t or "" for t in b.column(2).to_pylist()]
+        for at in range(0, len(texts), SLICE):
+            got = embed(texts[at : at + SLICE])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(at, SLICE), b.column(1).slice(at, SLICE), pa.array(list(map(told, got)), pa.string()), pa.array(list(map(bands, got)), pa.list_(pa.int64()))], ["key", "doc_id", "fingerprint", "bands"]
+            )

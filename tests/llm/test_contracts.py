@@ -294,6 +294,30 @@ def test_likeness_falls_with_edits(spark):
     assert {(r["a"], r["b"]) for r in got} == {(1, 2)} and got[0]["edits"] == 3
 
 
+@pytest.mark.parametrize("cell", [500, 4])
+def test_near_pairs_of_a_family(spark, monkeypatch, cell):
+    """Every pair of a family that shares a band and is like enough, over one cell or several; texts of equal fingerprints stay apart."""
+    monkeypatch.setattr(fingerprints, "CELL", cell)
+    t = " ".join(RND.choices(WORDS, k=900))
+    own = [(k, t if not k else t[: 90 * k] + "#" + t[90 * k + 1 :]) for k in range(20)]
+    first = fingerprints.embed([t])[0]
+    k = next(k for k in range(len(t)) if fingerprints.told(fingerprints.embed([t[:k] + "%" + t[k + 1 :]])[0]) == fingerprints.told(first))
+    own += [(50, t[:k] + "%" + t[k + 1 :]), (60, t), (70, None)]
+    d = spark.createDataFrame(own, "doc_id bigint, text string")
+    got = {(r["a"], r["b"]): r["edits"] for r in fingerprints.near_pairs(d).collect()}
+    one = {i: fingerprints.embed([x])[0] for i, x in own if i not in (60, 70)}
+    want = {(a, b) for a in one for b in one if a < b and set(fingerprints.bands(one[a])) & set(fingerprints.bands(one[b])) and fingerprints.likeness(one[a], one[b]) >= 0.4}
+    assert set(got) == want and got[0, 50] == 1 and len(want) > 100
+    assert {r["doc_id"]: r["same_as"] for r in fingerprints.equal_texts(d).collect()} == {i: 0 if i == 60 else i for i, _ in own}
+
+
+def test_edit_bound_grows_with_length(spark):
+    t = "".join(RND.choices("abcdefgh ", k=9000))
+    u = t[:3000] + "".join(RND.choices("xyz", k=300)) + t[3300:]
+    got = fingerprints.near_pairs(spark.createDataFrame([(1, t), (2, u)], "doc_id bigint, text string"), least=0.0).collect()
+    assert [(r["a"], r["b"]) for r in got] == [(1, 2)] and 200 < got[0]["edits"] <= 300
+
+
 def test_quality(spark, docs, empty):
     own = []
     for k in range(600):
