@@ -22,8 +22,8 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """One document of each group of near copies stays."""
-    return near_dedup.kept_documents(docs)
+    """One document of each group of near copies (similarity of 0.8 or more) stays."""
+    return near_dedup.kept_documents(docs, 80)
 
 
 def decontamination_stage(spark, docs, sf_dir):

@@ -25,7 +25,7 @@ def op3_sampled_pieces(spark, sf_dir):
 
 
 def op4_minhash_near_dedup(spark, sf_dir):
-    return near_dedup.near_dedup(_table(spark, sf_dir, "documents"))
+    return near_dedup.near_dedup(_table(spark, sf_dir, "documents"), 85)
 
 
 def op5_license_rules(spark, sf_dir):

@@ -71,6 +71,18 @@ def test_stages(spark, corpus, tmp_path):
             assert set(after) == set(before) and all(r["lossless"] for i, r in after.items() if before[i] is not None)
 
 
+def test_near_dedup_stage_takes_four_fifths(spark, corpus):
+    """Near copies of a similarity in [0.80, 0.85) go; a pair below 0.80 stays."""
+    w = [f"w{k}" for k in range(104)]
+    own = [(1, w), (2, [*w[:50], "x", *w[51:60], "y", *w[61:]]), (3, [f"v{k}" for k in range(104)]), (4, [f"z{k}" if k in (20, 50, 80) else f"v{k}" for k in range(104)])]
+    own = [(i, " ".join(x)) for i, x in own]
+    for (i, x), (j, y), low, high in ((own[0], own[1], 0.8, 0.85), (own[2], own[3], 0, 0.8)):
+        x, y = brute.shingles(x), brute.shingles(y)
+        assert low <= len(x & y) / len(x | y) < high
+    d = spark.createDataFrame(own, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, d, corpus).collect()} == {1, 3, 4}
+
+
 def test_run(spark, corpus):
     out = corpus_pipeline.run(spark, corpus)
     assert out.count() > 300 and {"doc_id", "ids", "lossless"} <= set(out.columns)
