@@ -1,7 +1,7 @@
 """Secrets by a character convolutional network over candidates.
 
 Base findings come from three exact rules (assign, access, hex). Further candidates are runs of token characters with letters
-and digits. A network in numpy reads each candidate with its context: byte embeddings, one convolution, ReLU,
+and digits. A network in numpy reads each candidate with its context on both sides, a long one in several windows: byte embeddings, one convolution, ReLU,
 maximum over places, a logistic output. It is trained on labelled findings: base findings with varied characters
 are positives; placeholders, other numbers and tokens of the texts and ordinary places are negatives. At most SAMPLE findings of each label are
 taken, chosen by hash (a documented parameter). A quarter calibrates the scores (Platt) and sets the threshold: the highest
@@ -101,6 +101,13 @@ def window(text: str, s: int, e: int) -> bytes:
     return before + text[s : s + AFTER].encode()[:AFTER].ljust(AFTER, b"\0")
 
 
+def windows(text: str, s: int, e: int) -> list[bytes]:
+    """Windows over a whole candidate and BEFORE characters on both sides; the last one ends there. They overlap, so no place of
+    the convolution falls between two."""
+    end = e + BEFORE - AFTER
+    return [window(text, k, e) for k in ([*range(s, end, AFTER), end] if end > s else [s])]
+
+
 def _findings(batches):
     """Labelled windows of texts: (order, label, window)."""
     for b in batches:
@@ -206,7 +213,9 @@ def found(text: str, net: Network | None) -> tuple[list, list]:
     base = base_spans(text)
     more = other_candidates(text, base) if net is not None else []
     if more:
-        p = net.scores([window(text, s, e) for s, e in more])
+        each = [windows(text, s, e) for s, e in more]
+        first = np.cumsum([0, *map(len, each)])[:-1]
+        p = np.maximum.reduceat(net.scores([w for ws in each for w in ws]), first)  # of a candidate's windows the surest tells
         more = [("likely", s, e) for (s, e), x in zip(more, p) if x >= net.threshold]
     return base, sorted([*base, *more], key=lambda x: (x[1], (*BASE, "likely").index(x[0])))
 

@@ -204,6 +204,28 @@ def test_network_learns_and_keeps_recall():
     assert (p[y == 1] >= net.threshold).mean() >= 0.95 and (p[y == 0] >= net.threshold).mean() <= 0.05
 
 
+@pytest.mark.parametrize("n", [0, 4, 20, 40, 100, 1000])
+def test_secret_at_the_end_of_a_long_candidate_is_seen(n):
+    """Every place of a candidate and its right context stand in some window."""
+    import numpy as np
+
+    class Net:
+        threshold = 0.5
+
+        def __init__(self, told):
+            self.told = told
+
+        def scores(self, wins):
+            return np.array([float(self.told in w) for w in wins])
+
+    own = "services/" + "path1/" * n + "kEy9Zq8Xw7Vt"
+    t = f"see {own} (right context) and more"
+    for told in (b"kEy9Zq8Xw7Vt", b"(right context)"):
+        assert secrets.found(t, Net(told))[1] == [("likely", 4, 4 + len(own))]
+    for k in range(0, len(own) - 4):
+        assert any(own[k : k + 5].encode() in w for w in secrets.windows(t, 4, 4 + len(own)))
+
+
 def test_pieces(docs, empty):
     got = rows(pieces.encode(docs))
     back = rows(pieces.encode(docs).select("doc_id", pieces.decoder(pieces.model_bytes())("ids").alias("text")))
