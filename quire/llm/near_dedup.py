@@ -13,10 +13,11 @@ words, the whole sequence as one shingle; without words (or null), empty and lin
    deviations), then links are confirmed on the full sets. First the best partner of each row, then every candidate
    pair whose ends aren't yet in one component.
 4. Kept regions that hold rows of several components: each row outside the largest component meets all others there in cells of
-   bounded size that compare full sets and give out confirmed links only, so dense regions lose no link either.
+   bounded size that compare full sets and give out confirmed links only. This is exact for rows that share a full-depth prefix.
 
 Two sets at a similarity of 0.85 share a prefix of depth 4 in none of 24 trees with probability 2e-8; regions of more than
-REGION rows at depth 4 use deeper prefixes, with 1e-5 at depth 6. Repeated rows count as equal sets; a repeated doc_id with
+REGION rows at depth 4 use deeper prefixes, with 1e-5 at depth 6, 5e-4 at depth 8 and 5e-3 at depth 10: large families just below the
+threshold can lose links near it at these rates. Repeated rows count as equal sets; a repeated doc_id with
 different texts is one node with all its sets' links. Rows without doc_id link with nothing and get no component.
 """
 
