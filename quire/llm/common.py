@@ -6,6 +6,7 @@ bounded number of bytes, so that memory doesn't follow the size of an Arrow batc
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -19,14 +20,40 @@ MAX_BROADCAST_ROWS = 1_000_000
 BLOCK_BYTES = 1 << 20
 
 
+#: Bytes of an Arrow batch on its way to Python; rows are many or few as their texts are short or long.
+BATCH_BYTES = 8 << 20
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or what the context was given. Where neither is set, a
+    session that is one process (local[n], as in tests) gets a temporary folder; on a cluster that would be lost with its machine,
+    so there it is an error."""
+    sc = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if at is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp("quire")
+        sc.setCheckpointDir(at)
+    return at
+
+
 def settle(df: DataFrame) -> DataFrame:
     """df, cut off from its lineage by a checkpoint in the folder that all executors share."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("quire"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on this session's Arrow batches end at BATCH_BYTES, unless it already has a smaller bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    had = spark.conf.get(name, None)
+    if had is None or not had.isdigit() or not 0 < int(had) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -44,7 +71,8 @@ def spread_join(big: DataFrame, keyed: DataFrame, on, how: str = "inner") -> Dat
 
 
 def bound(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Only the named columns of df, cast; other columns can't clash with a kernel's own."""
+    """Only the named columns of df, cast, on their way to Python in bounded batches; other columns can't clash with a kernel's own."""
+    bounded_batches(df.sparkSession)
     return df.select(*(F.col(k).cast(v).alias(k) for k, v in names.items()))
 
 

@@ -5,28 +5,34 @@ character without a piece falls back to its bytes. Forward filtering sums the pr
 backward sampling then draws the last piece, the one before it, and so on. Draws come from a hash of the row's key, the place and the
 step: a row gets the same pieces on any machine, in any order and any batch.
 
-No piece goes on from other characters to a blank, so the lattice falls into units (blanks and the word behind them), and
-filtering runs once for each distinct unit of a block, all units at once in numpy. A blank is U+2581 in pieces; a literal U+2581 is
-encoded by its bytes, so decoding gives back every text exactly. Null text gives null; an empty text gives no pieces.
-Rows without a key are drawn as if their key were 0. Equal keys with equal texts get equal pieces.
+No piece goes on from other characters to a blank (models that have such pieces, or no byte pieces, are refused), so the lattice
+falls into units (blanks and the word behind them), and filtering runs once for each distinct unit, all new units of a block at
+once in numpy; a worker keeps the lattices of the first units that it meets, up to STORE_NODES places. Shares are cumulated place by place,
+so nothing of a draw depends on what else is in the block. A blank is U+2581 in pieces; a literal U+2581 is
+encoded by its bytes, so decoding gives back every text exactly. Null text gives null; an empty text gives no pieces, an empty table no rows.
+Rows without a key are drawn as if their key were 0. Equal keys with equal texts (repeated rows) get equal pieces. Other columns are left aside.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, keys, mix, ranges
+from .common import bounded_batches, buffers, keys, mix, ranges
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK, LITERAL = 0x2581, 0x110000
-BYTE0 = 3  # the id of the piece of byte 0
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 100_000
+#: Places in the lattices that a worker keeps (about 100 bytes each).
+STORE_NODES = 600_000
+#: Units of more characters are filtered one by one.
+LONG = 256
 _M = np.uint64(0x9E3779B97F4A7C15)
 _S = np.uint64(0x2545F4914F6CDD1D)
 
@@ -51,26 +57,28 @@ class Vocabulary:
         self.len = np.array([len(x) for x in raw])
         self.at = np.cumsum(self.len) - self.len
         own = [i for i in range(n) if not special[i] and not is_byte[i]]
+        bytes_of = {raw[i][0]: i for i in range(n) if is_byte[i]}
+        if len(bytes_of) < 256 or any("▁" in text[i].lstrip("▁") for i in own):
+            raise ValueError("the model needs a piece for each byte and none that goes on from other characters to a blank")
+        self.byte_id = np.array([bytes_of[k] for k in range(256)])
         rank = {i: r for r, i in enumerate(own)}
         logs = -np.log(np.arange(len(own)) + 3.0)
         self.byte = float(logs[-1] - np.log(np.exp(logs).sum()) - 2)
         logs -= np.log(np.exp(logs).sum())
-        table: dict[int, list] = {}
-        self.longest = max(len(text[i]) for i in own)
-        for i in own:
-            cps = np.array([ord(c) for c in text[i]], np.uint64)
-            h = None
-            for k, c in enumerate(cps):
-                h = _hash1(cps[:1])[0] if h is None else mix(np.array([h], np.uint64) * _M + c)[0]
-                e = table.setdefault(int(h), [-1, False])
-                if k + 1 == len(cps):
-                    e[0] = i
-                else:
-                    e[1] = True
-        items = sorted(table.items())
-        self.keys = np.array([k for k, _ in items], np.uint64)
-        self.piece = np.array([e[0] for _, e in items])
-        self.more = np.array([e[1] for _, e in items])
+        size = np.array([len(text[i]) for i in own])
+        self.longest = int(size.max())
+        cps = np.frombuffer("".join(text[i].ljust(self.longest, "\0") for i in own).encode("utf-32-le"), np.uint32).reshape(len(own), -1).astype(np.uint64)
+        h, found = _hash1(cps[:, 0]), []
+        for k in range(self.longest):  # prefixes of k + 1 characters
+            live = np.flatnonzero(size > k)
+            if k:
+                h[live] = mix(h[live] * _M + cps[live, k])
+            found.append((h[live].copy(), np.where(size[live] == k + 1, np.array(own)[live], -1), size[live] > k + 1))
+        every, piece, more = (np.concatenate(x) for x in zip(*found))
+        self.keys, at = np.unique(every, return_inverse=True)
+        self.piece, self.more = np.full(len(self.keys), -1), np.zeros(len(self.keys), bool)
+        np.maximum.at(self.piece, at, piece)
+        np.logical_or.at(self.more, at, more)
         self.logp = np.full(n, -np.inf)
         for i in own:
             self.logp[i] = logs[rank[i]]
@@ -137,13 +145,15 @@ def _lattice(v: Vocabulary, cps: np.ndarray, starts: np.ndarray, lens: np.ndarra
         h = mix(h * _M + cps[p + k].astype(np.uint64))
     src, dst, piece, logp = (np.concatenate(x) for x in (src, dst, piece, logp))
     # by end, longer pieces (mostly the likelier ones) first; each length's edges are in order already, which a merge sort uses
-    order = np.argsort(dst * 32 - (dst - src), kind="stable")
+    order = np.argsort(dst * (v.longest + 1) - (dst - src), kind="stable")
     src, dst, piece, logp = src[order], dst[order], piece[order], logp[order]
     nodes = len(cps) + len(lens)
     first_node = starts + np.arange(len(lens))
     rel = (np.arange(nodes) - np.repeat(first_node, lens + 1))[dst]
-    steps = np.argsort(rel.astype(np.uint16) if lens.max() < 65536 else rel, kind="stable")
-    cuts = np.searchsorted(rel[steps], np.arange(1, int(lens.max()) + 2))
+    short = lens <= LONG
+    rel[~np.repeat(short, lens + 1)[dst]] = LONG + 1
+    steps = np.argsort(rel.astype(np.uint16), kind="stable")
+    cuts = np.searchsorted(rel[steps], np.arange(1, int(lens[short].max(initial=0)) + 2))
     alpha = np.full(nodes, -np.inf)
     alpha[first_node] = 0
     share = np.empty(len(src))
@@ -161,17 +171,86 @@ def _lattice(v: Vocabulary, cps: np.ndarray, starts: np.ndarray, lens: np.ndarra
         alpha[d[lead]] = top + np.log(total)
         share[own] = x / np.repeat(total, size)
     first = np.searchsorted(dst, np.arange(nodes + 1))
-    run = np.concatenate([[0.0], np.cumsum(share)])
-    within = run[1:] - run[first[dst]]
-    within[first[1:][first[1:] > first[:-1]] - 1] = 2.0  # the last edge takes what rounding leaves
-    return first, within, piece, src
+    for u in np.flatnonzero(~short):
+        a = first_node[u]
+        own = first[a : a + lens[u] + 2]
+        share[own[0] : own[-1]] = _shares((src[own[0] : own[-1]] - a).tolist(), logp[own[0] : own[-1]].tolist(), (own - own[0]).tolist())
+    size = np.diff(first)
+    nth = np.arange(len(dst)) - first[dst]
+    within = share
+    for k in range(1, int(size.max())):  # each place by itself
+        own = np.flatnonzero(nth == k) if k == 1 else own[size[dst[own]] > k] + 1
+        within[own] += within[own - 1]
+    within[first[1:][size > 0] - 1] = 2.0  # the last edge takes what rounding leaves
+    return first[:-1], within, piece, src
+
+
+def _shares(src: list[int], logp: list[float], first: list[int]) -> list[float]:
+    """Shares of the edges into each place of one unit."""
+    alpha, out = [0.0] * (len(first) - 1), []
+    for d in range(1, len(alpha)):
+        w = [alpha[src[e]] + logp[e] for e in range(first[d], first[d + 1])]
+        top = max(w)
+        x = [math.exp(y - top) for y in w]
+        total = sum(x)
+        alpha[d] = top + math.log(total)
+        out += [y / total for y in x]
+    return out
+
+
+class Lattices:
+    """Lattices of units, one after another in growing arrays; those of the first STORE_NODES places stay for the next blocks."""
+
+    def __init__(self, v: Vocabulary):
+        self.v, self.nodes, self.edges = v, 0, 0
+        self.keys, self.home = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._room(1 << 16, 1 << 18)
+
+    def _room(self, nodes: int, edges: int):
+        a, b = self.nodes, self.edges
+        old = (self.first[:a], self.within[:b], self.piece[:b], self.src[:b]) if a else None
+        self.first, self.within = np.empty(nodes, np.int64), np.empty(edges)
+        self.piece, self.src = np.empty(edges, np.int32), np.empty(edges, np.int32 if nodes < 1 << 31 else np.int64)
+        if old:
+            self.first[:a], self.within[:b], self.piece[:b], self.src[:b] = old
+
+    def homes(self, h: np.ndarray, lens: np.ndarray, chars) -> np.ndarray:
+        """The first place of each unit. h: hashes of distinct units; chars(k): the characters of units k, one after another."""
+        out = np.empty(len(h), np.int64)
+        k = np.minimum(np.searchsorted(self.keys, h), max(len(self.keys) - 1, 0))
+        known = self.keys[k] == h if len(self.keys) else np.zeros(len(h), bool)
+        out[known] = self.home[k[known]]
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return out
+        n = lens[new]
+        starts = np.cumsum(n) - n
+        first, within, piece, src = _lattice(self.v, chars(new), starts, n)
+        a, b = self.nodes, self.edges
+        most = max(len(self.first), 1 << 16)
+        if a + len(first) > most or b + len(piece) > len(self.piece) or most > 4 * max(STORE_NODES, a + len(first)):
+            self._room(a + 2 * len(first), b + 2 * len(piece))
+        c, d = a + len(first), b + len(piece)
+        self.first[a:c], self.within[b:d], self.piece[b:d], self.src[b:d] = first + b, within, piece, src + a
+        out[new] = a + starts + np.arange(len(new))
+        if c <= STORE_NODES:
+            self.nodes, self.edges = c, d
+            own = np.concatenate([self.keys, h[new]])
+            order = np.argsort(own)
+            self.keys, self.home = own[order], np.concatenate([self.home, out[new]])[order]
+        return out
+
+
+@functools.lru_cache(2)
+def _store(model: bytes) -> Lattices:
+    return Lattices(vocabulary(model))
 
 
 def _steps(n: int) -> np.uint64:
     return np.uint64(((n + 1) * int(_S)) & 0xFFFFFFFFFFFFFFFF)
 
 
-def encode_block(v: Vocabulary, cps: np.ndarray, offs: np.ndarray, row_keys: np.ndarray):
+def encode_block(store: Lattices, cps: np.ndarray, offs: np.ndarray, row_keys: np.ndarray):
     """Pieces of texts (code points, blanks as they are) as one array of ids and where each text's begin."""
     n_texts = len(offs) - 1
     lens = np.diff(offs)
@@ -195,15 +274,13 @@ def encode_block(v: Vocabulary, cps: np.ndarray, offs: np.ndarray, row_keys: np.
     power[0] = 1
     power = np.cumprod(power, dtype=np.uint64)
     h = mix(np.add.reduceat(_hash1(cp) * power[at], u0, dtype=np.uint64) + ulen.astype(np.uint64))
-    _, where, kind = np.unique(h, return_index=True, return_inverse=True)
-    lens_k = ulen[where]
-    starts_k = np.cumsum(lens_k) - lens_k
-    first, within, piece, src = _lattice(v, cp[ranges(u0[where], lens_k)], starts_k, lens_k)
+    h, where, kind = np.unique(h, return_index=True, return_inverse=True)
+    home = store.homes(h, ulen[where], lambda k: cp[ranges(u0[where[k]], ulen[where[k]])])[kind]
+    first, within, piece, src = store.first, store.within, store.piece, store.src
     text_of = np.searchsorted(new, u0, side="right") - 1
     unit_no = np.arange(len(u0)) - np.searchsorted(u0, new[text_of])
     seed = mix(mix(row_keys[text_of]) + unit_no.astype(np.uint64) * _M)
-    node = starts_k[kind] + kind + lens_k[kind]
-    home = starts_k[kind] + kind
+    node = home + ulen
     live = np.arange(len(u0))
     got_unit, got_piece, got_step = [], [], []
     step = 0
@@ -236,7 +313,7 @@ def encode_block(v: Vocabulary, cps: np.ndarray, offs: np.ndarray, row_keys: np.
         to = np.concatenate([[0], np.cumsum(size)])
         wide = np.repeat(ids, size)
         raw = np.frombuffer("".join(map(chr, cp[ids < 0])).encode("utf-8", "surrogatepass"), np.uint8)
-        wide[np.repeat(ids < 0, size)] = raw.astype(np.int64) + BYTE0
+        wide[np.repeat(ids < 0, size)] = store.v.byte_id[raw]
         ids, ends = wide, to[ends]
     return ids, ends
 
@@ -261,34 +338,25 @@ def _char_blocks(data: np.ndarray, offs: np.ndarray):
         i = j
 
 
-_RESULT = "struct<n_ids:bigint,ids:array<int>,ids_sha256:string,lossless:boolean>"
-
-
-def encoder(model: bytes, seed: int = 0):
-    """A column function from text and 64-bit key to n_ids, ids, ids_sha256 and lossless (decoding gave the text back)."""
-
-    def run(text: pa.Array, key: pa.Array) -> pa.Array:
-        v = vocabulary(model)
-        null = np.asarray(text.is_null())
-        data, offs = buffers(text)
-        row_keys = np.asarray(key.fill_null(0)).astype(np.int64).view(np.uint64) ^ keys(seed, 1)[0]
-        n, ids_all, shas, same = [], [], [], []
+def _encoded(batches, model: bytes, seed: int):
+    """Of rows (doc_id, key, text): doc_id, pieces, and whether decoding gave the text back; a batch for each block."""
+    store = _store(model)
+    for b in batches:
+        data, offs = buffers(b.column(2))
+        null = np.asarray(b.column(2).is_null())
+        row_keys = np.asarray(b.column(1).fill_null(0)).astype(np.int64).view(np.uint64) ^ keys(seed, 1)[0]
         for i, j, part, cps, at in _char_blocks(data, offs):
-            ids, ends = encode_block(v, cps, at, row_keys[i:j])
-            back = decode_block(v, ids, ends)
+            ids, ends = encode_block(store, cps, at, row_keys[i:j])
+            back = decode_block(store.v, ids, ends)
             ids = ids.astype(np.int32)
-            own = offs[i : j + 1] - offs[i]
-            raw = part.tobytes()
-            for d in range(j - i):
-                n.append(int(ends[d + 1] - ends[d]))
-                shas.append(hashlib.sha256(ids[ends[d] : ends[d + 1]].tobytes()).hexdigest())
-                same.append(back[d] == raw[own[d] : own[d + 1]])
-            ids_all.append(ids)
-        flat = np.concatenate(ids_all) if ids_all else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), lists, pa.array(shas, pa.string()), pa.array(same, pa.bool_())], ["n_ids", "ids", "ids_sha256", "lossless"], mask=pa.array(null))
-
-    return F.arrow_udf(run, _RESULT)
+            own = (offs[i : j + 1] - offs[i]).tolist()
+            raw, cut = part.tobytes(), ends.tolist()
+            shas = [hashlib.sha256(ids[cut[d] : cut[d + 1]].tobytes()).hexdigest() for d in range(j - i)]
+            same = [back[d] == raw[own[d] : own[d + 1]] for d in range(j - i)]
+            no = pa.array(null[i:j])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids), mask=no)
+            cols = [pa.array(np.diff(ends), mask=null[i:j]), lists, pa.array(np.array(shas, object), pa.string(), mask=null[i:j]), pa.array(np.array(same, bool), mask=null[i:j])]
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *cols], ["doc_id", "n_ids", "ids", "ids_sha256", "lossless"])
 
 
 def decoder(model: bytes):
@@ -312,6 +380,8 @@ def model_bytes(path: str = MODEL) -> bytes:
 
 def encode(docs: DataFrame, path: str = MODEL, seed: int = 0) -> DataFrame:
     """(doc_id, n_ids, ids, ids_sha256, lossless) of each row of docs."""
-    f = encoder(model_bytes(path), seed)
-    own = f(F.col("text").cast("string"), F.col("doc_id").cast("bigint")).alias("__own")
-    return docs.select(F.col("doc_id"), own).select("doc_id", "__own.*")
+    bounded_batches(docs.sparkSession)
+    model = model_bytes(path)
+    rows = docs.select("doc_id", F.col("doc_id").try_cast("bigint").alias("key"), F.col("text").cast("string").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(lambda it: _encoded(it, model, seed), f"doc_id {kind}, n_ids bigint, ids array<int>, ids_sha256 string, lossless boolean")

@@ -236,6 +236,38 @@ def test_pieces(docs, empty):
             assert got[i]["lossless"] and back[i]["text"] == t and got[i]["n_ids"] == len(got[i]["ids"])
     assert {i: r["ids_sha256"] for i, r in rows(pieces.encode(docs.repartition(7).orderBy(F.rand()))).items()} == {i: r["ids_sha256"] for i, r in got.items()}
     assert pieces.encode(empty).collect() == []
+    twice = pieces.encode(docs.unionByName(docs)).collect()
+    assert len(twice) == 2 * len(DOCS) and all(r["ids"] == got[r["doc_id"]]["ids"] for r in twice)
+    assert pieces.encode(docs.withColumn("doc_id", F.lit(None).cast("bigint"))).where("lossless").count() == len(DOCS) - 1
+
+
+@pytest.mark.parametrize("nodes,chars", [(0, 100_000), (600_000, 50), (300, 1000), (600_000, 10_000_000)])
+def test_pieces_do_not_depend_on_blocks(monkeypatch, nodes, chars):
+    """The same pieces with any size of block and of store."""
+    import numpy as np
+    import pyarrow as pa
+
+    own = [(i, t) for i, t in DOCS if len(t or "") < 2000]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in own]), pa.array([i for i, _ in own]), pa.array([t for _, t in own], pa.string())], ["doc_id", "key", "text"])
+    model = pieces.model_bytes()
+    pieces._store.cache_clear()
+    want = [r for b in pieces._encoded([batch], model, 3) for r in b.to_pylist()]
+    monkeypatch.setattr(pieces, "STORE_NODES", nodes)
+    monkeypatch.setattr(pieces, "BLOCK_CHARS", chars)
+    pieces._store.cache_clear()
+    order = np.random.default_rng(1).permutation(len(own))
+    got = [r for _ in range(2) for b in pieces._encoded([batch.take(pa.array(order))], model, 3) for r in b.to_pylist()]
+    pieces._store.cache_clear()
+    assert sorted(got[: len(want)], key=lambda r: r["doc_id"]) == want and got[len(want) :] == got[: len(want)]
+
+
+def test_models_that_the_lattice_cannot_cut_are_refused(monkeypatch):
+    import sentencepiece
+
+    true = sentencepiece.SentencePieceProcessor.is_byte
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "is_byte", lambda self, i: i != 10 and true(self, i))
+    with pytest.raises(ValueError):
+        pieces.Vocabulary(pieces.model_bytes())
 
 
 def test_piece_shares():
@@ -259,7 +291,7 @@ def test_piece_shares():
     total = sum(want.values())
     n = 20_000
     cps = np.array([ord(c) for c in "theon"] * n, np.int64)
-    ids, ends = pieces.encode_block(v, cps, np.arange(0, 5 * n + 1, 5), np.arange(n).astype(np.uint64))
+    ids, ends = pieces.encode_block(pieces.Lattices(v), cps, np.arange(0, 5 * n + 1, 5), np.arange(n).astype(np.uint64))
     seen = {}
     for d in range(n):
         k = tuple(ids[ends[d] : ends[d + 1]])
