@@ -9,7 +9,9 @@ over all training rows).
 
 As the layer is linear in the mean, scoring needs one number a bucket: the model that executors get has 2^BITS
 floats, whatever the input. Every whole text is scored; an empty or null text gets the calibrated score of a zero vector. A row's
-score depends on its text alone. Without labels of both kinds, the score is the share of label 1 (0.5 without labels).
+score depends on its text alone, so repeated rows have equal scores. A document with several labels counts with the largest.
+Without labels of both kinds, the score is the share of label 1 (0.5 without labels). An empty table gives no rows; labels of
+documents that aren't there and rows without doc_id (never held out) teach nothing; columns besides doc_id and text are left aside.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, blocks, bound, buffers, grams, keys, words
+from .common import SPACED, blocks, bound, bounded_batches, buffers, grams, keys, words
 
 BITS, DIM = 18, 8
 SAMPLE = 2400
@@ -59,8 +61,10 @@ def _margins(arr, weights: np.ndarray) -> np.ndarray:
     for i, j in blocks(offs):
         total, count = np.zeros(j - i), np.zeros(j - i)
         for ids, a, b in _features(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]):
-            run = np.concatenate([[0.0], np.cumsum(weights[ids], dtype=np.float64)])
-            total += run[b] - run[a]
+            some = np.flatnonzero(b > a)
+            if len(some):  # each text by itself, so that its sum doesn't depend on what else is in the block
+                x = np.append(weights[ids].astype(np.float64), 0.0)
+                total[some] += np.add.reduceat(x, np.stack([a[some], b[some]], axis=1).ravel())[::2]
             count += b - a
         out[i:j] = total / np.maximum(count, 1)
     return out
@@ -151,26 +155,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     return train(bags, counts.get(1, 0) / n)
 
 
-def score(model: Model):
+def score(model: Model, spark):
     """A column function from text to score."""
+    bounded_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
 
     def scores(text: pa.Array) -> pa.Array:
-        return pa.array(model.scores(text))
+        return pa.array(shared.value.scores(text))
 
     return F.arrow_udf(scores, "double")
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of docs."""
-    f = score(fit(docs, labels))
+    f = score(fit(docs, labels), docs.sparkSession)
     x = docs.select(F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), f(F.col("text").cast("string")).alias("score"))
     return x.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier doesn't reject, all columns."""
-    f = score(fit(docs, labels))
+    f = score(fit(docs, labels), docs.sparkSession)
     own = "__quality"
     return docs.withColumn(own, f(F.col("text").cast("string"))).where(F.col(own) >= THRESHOLD).drop(own)
-
-
