@@ -2,7 +2,8 @@
 
 A page is read once into blocks: the text between two block tags, with its share of linked characters, whether it stands in
 the page's article, and whether it stands in something that is no article text by its tag (menus, footers, forms,
-scripts ...), its role or the words of its class or id (advert, sidebar, comments ...); those blocks are left out.
+scripts ...), its role or its class or id (advert, sidebar, comments ...: any word outside the article, whole names inside); those
+blocks are left out.
 
 First pass, each block by itself: mostly linked text is bad; else stop-word density and length decide between good, near good
 and bad, and blocks of few characters stay open. Standing in an article is a prior: it lifts near good to good, bad to
@@ -13,7 +14,8 @@ a page marks an article with text, neighbours are those on the same side of its
 without any decided neighbour are bad.
 
 White space in a block becomes one space; blocks are joined by one line feed; nothing else is dropped or cut. Null or empty html, and
-pages without main text, give an empty text. Repeated rows are read alike. Unclosed tags, comments and quotes are read as far as
+pages without main text, give an empty text; an empty table gives no rows. Repeated rows, with or without page_id, are read alike;
+columns besides page_id, url and html are left aside. Unclosed tags, comments and quotes are read as far as
 they go; the time is linear in the length.
 """
 
@@ -26,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 #: Fixed lists: tags that bound blocks, tags whose content is no article text, raw-text tags, tags without an end.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav noscript ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split())
 OUT = frozenset("nav footer aside form head menu noscript select button svg iframe dialog template object canvas audio video fieldset datalist map".split())
@@ -43,6 +47,8 @@ _NAME = re.compile(r"/?([a-zA-Z][^\s/<>]*)")
 _QUOTED = re.compile(r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>")
 _ATTR = re.compile(r"(?<![^\s\"'/])(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?(?=[\s/>\"']|$)", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: Words that may stand beside those in a class or id inside an article.
+PLAIN = frozenset("area bar block bottom box button buttons container form group holder inner item items left link links list panel post posts right row section slot thread top unit wrap wrapper".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table select div section article main body nav aside footer header form".split())
 
@@ -54,13 +60,25 @@ class _Block:
         self.parts, self.linked, self.main, self.heading = [], 0, main, heading
 
 
-def _attributes(raw: str) -> tuple[bool, bool]:
+def _hinted(value: str, inside: bool) -> bool:
+    """Whether a class or id tells that an element is no article text. Outside an article any of its words may tell; inside,
+    a whole name must consist of such words (comment-list), as articles name their own parts too (related-work, discussion)."""
+    if not inside:
+        return not HINTS.isdisjoint(_WORDS.findall(value))
+    for name in value.split():
+        own = [w for w in _WORDS.findall(name) if w not in PLAIN]
+        if own and HINTS.issuperset(own) and own != ["discussion"]:
+            return True
+    return False
+
+
+def _attributes(raw: str, inside: bool) -> tuple[bool, bool]:
     """Whether an element's attributes tell that it is no article text; that it holds the article."""
     out = main = False
     for m in _ATTR.finditer(raw):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
-            out |= not HINTS.isdisjoint(_WORDS.findall(value))
+            out |= _hinted(value, inside)
         elif name == "role":
             out |= value in ROLES
             main |= value == "main"
@@ -75,7 +93,7 @@ def blocks_of(page: str) -> list[_Block]:
     """The blocks of a page that no tag, role, class or id excludes."""
     done: list[_Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # tag, excludes, holds the article, is a link
-    count: dict[str, int] = {}
+    places: dict[str, list[int]] = {}  # where each tag's open elements stand in the stack
     out = main = link = heading = 0
     current = _Block(False, False)
     plain_ends = False
@@ -104,7 +122,7 @@ def blocks_of(page: str) -> list[_Block]:
     def pop():
         nonlocal out, main, link, heading
         tag, o, m, a = stack.pop()
-        count[tag] -= 1
+        places[tag].pop()
         out, main, link = out - o, main - m, link - a
         heading -= tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         if tag in BLOCK:
@@ -142,7 +160,7 @@ def blocks_of(page: str) -> list[_Block]:
         raw = page[m.end() : e - 1]
         pos = e
         if closing:
-            if count.get(tag):
+            if places.get(tag):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -161,27 +179,22 @@ def blocks_of(page: str) -> list[_Block]:
         if tag in BLOCK:
             closes = _CLOSES.get(tag)
             if closes:
-                d = len(stack) - 1
-                while d >= 0 and len(stack) - d < 64 and stack[d][0] not in closes and stack[d][0] not in _SCOPE:
-                    d -= 1
-                if d >= 0 and stack[d][0] in closes:
-                    while len(stack) > d:
-                        pop()
-            elif count.get("p"):  # a block ends an open paragraph
-                d = len(stack) - 1
-                while d >= 0 and len(stack) - d < 64 and stack[d][0] not in BLOCK:
-                    d -= 1
-                if d >= 0 and stack[d][0] == "p":
+                d = max((places[x][-1] for x in closes if places.get(x)), default=-1)
+                if d > max((places[x][-1] for x in _SCOPE if places.get(x)), default=-1):
                     while len(stack) > d:
                         pop()
+            elif places.get("p") and places["p"][-1] == max(places[x][-1] for x in BLOCK if places.get(x)):  # a block ends an open paragraph
+                d = places["p"][-1]
+                while len(stack) > d:
+                    pop()
             end_block()
         if tag in VOID or raw.endswith("/") and tag not in BLOCK:
             continue
-        o, holds = _attributes(raw) if raw.strip() else (False, False)
+        o, holds = _attributes(raw, main > 0) if raw.strip() else (False, False)
         o = (o and tag not in ("html", "body", "article", "main")) or tag in OUT or (tag == "header" and not main)
         holds = holds or tag in ("article", "main")
+        places.setdefault(tag, []).append(len(stack))
         stack.append((tag, o, holds, tag == "a"))
-        count[tag] = count.get(tag, 0) + 1
         out, main, link = out + o, main + holds, link + (tag == "a")
         heading += tag in ("h1", "h2", "h3", "h4", "h5", "h6")
     end_block()
@@ -260,8 +273,9 @@ def main_text(page: str | None) -> str:
     return "\n".join(t for (t, _), x in zip(got, labels) if x == "good")
 
 
-def extractor():
+def extractor(spark):
     """A column function from html to main text."""
+    bounded_batches(spark)
 
     def run(page: pa.Array) -> pa.Array:
         return pa.array([main_text(x.as_py()) for x in page], pa.string())
@@ -271,5 +285,5 @@ def extractor():
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages."""
-    x = pages.select("page_id", "url", extractor()(F.col("html").cast("string")).alias("text"))
+    x = pages.select("page_id", "url", extractor(pages.sparkSession)(F.col("html").cast("string")).alias("text"))
     return x.withColumn("n_chars", F.char_length("text").cast("bigint"))
