@@ -8,17 +8,19 @@ words, the whole sequence as one shingle; without words (or null), empty and lin
 2. Each tree sorts all signatures in an order of its own (a range exchange by tree, label, id: ties of a label
    spread over tasks). In a sorted run the candidates are rows that share a prefix; its depth adapts to the
    region: the smallest depth of DEPTHS at which at most REGION rows share it. Rows that still are more at full depth are
-   compared with their nearest neighbours, and their region is kept for step 4.
+   compared with their nearest neighbours. Regions of more than REGION rows at depth EXACT, and those at a task's border, are kept
+   for step 4.
 3. Candidates pass a 128-bit sketch (agreement far below what the threshold allows is dropped: six standard
    deviations), then links are confirmed on the full sets. First the best partner of each row, then every candidate
    pair whose ends aren't yet in one component.
 4. Kept regions that hold rows of several components: each row outside the largest component meets all others there in cells of
-   bounded size that compare full sets and give out confirmed links only. This is exact for rows that share a full-depth prefix.
+   bounded size that compare full sets and give out confirmed links only. This is exact for rows that share a prefix of depth EXACT.
 
-Two sets at a similarity of 0.85 share a prefix of depth 4 in none of 24 trees with probability 2e-8; regions of more than
-REGION rows at depth 4 use deeper prefixes, with 1e-5 at depth 6, 5e-4 at depth 8 and 5e-3 at depth 10: large families just below the
-threshold can lose links near it at these rates. Repeated rows count as equal sets; a repeated doc_id with
-different texts is one node with all its sets' links. Rows without doc_id link with nothing and get no component.
+Two sets at a similarity of 0.85 share a prefix of depth 4 in none of 24 trees with probability 2e-8, one of depth 6 with 1e-5; at 0.8
+with 3e-6 and 7e-4. Regions of more than REGION rows at depth 4 thus lose such a pair with 1e-5 (7e-4) at most, whatever their size, and
+only if no chain of other links joins the two. Repeated rows count as equal sets; a repeated doc_id with
+different texts is one node with all its sets' links. Rows without doc_id link with nothing and get no component. Null counts as empty;
+an empty table gives no rows; columns besides doc_id and text are left aside.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ SHINGLE = 5
 TREES, BASE = 24, 4
 DEPTHS = (4, 6, 8, 10)
 REGION = 16
+#: Rows of regions that are dense at this depth meet exactly in step 4.
+EXACT = 6
 #: Bits of two sketches that agree at least (of 128). At similarity s a bit agrees with probability (1 + s) / 2.
 SKETCH = 128
 #: Rows of a sorted run in one task.
@@ -167,11 +171,13 @@ def _neighbours(batches, least):
     if pairs:
         a, b, g = (np.concatenate(x) for x in zip(*pairs))
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(a), bool)), pa.array(a), pa.array(b), pa.array(g), pa.array(np.zeros(len(a), np.int64))], ["dense", "a", "b", "x", "y"])
-    d = np.flatnonzero(pick < 0)
+    run = run_of[DEPTHS.index(EXACT)]
+    # a run at the task's border may go on in the next task
+    d = np.flatnonzero((np.bincount(run)[run] > REGION) | (run == 0) | (run == run[-1]))
     if len(d):
         # the region's name: a hash of tree and label, equal for its parts in other tasks
         name = np.zeros(len(d), np.uint64)
-        for c in range(DEPTHS[-1]):
+        for c in range(EXACT):
             name = mix(name + lab[d, c].astype(np.uint64) + np.uint64(1 + c))
         name = mix(name + tree[d].astype(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), bool)), pa.array(name), pa.array(ids[d]), pa.array(s0[d]), pa.array(s1[d])], ["dense", "a", "b", "x", "y"])
@@ -271,7 +277,7 @@ def _rooted(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return x.withColumn("ra", F.coalesce("ra", "a")).withColumn("rb", F.coalesce("rb", "b"))
 
 
-def near_dedup(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE) -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of docs (doc_id, text); other columns are left aside."""
     sig = settle(signatures(docs, shingle))
     some = sig.where("sig is not null and doc_id is not null")
@@ -356,7 +362,16 @@ def _dense(docs, rows, comp, percent, shingle):
     return both.groupBy(*cell).applyInPandas(lambda x: links(x[x["odd"]], x[~x["odd"]]), "a bigint, b bigint")
 
 
-def kept_documents(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The rows of docs that stay: one of each component, all columns; rows without an id stay."""
-    gone = near_dedup(docs, percent).where("not kept").select("doc_id").distinct()
-    return semi(docs, settle(gone), "doc_id", "left_anti")
+def kept_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay, all columns: one of each component. Rows without an id or without words stay; of rows with words
+    that repeat the id that stays, the one with the smallest text stays."""
+    told = near_dedup(docs, percent).where("doc_id is not null").groupBy("doc_id").agg(F.bool_or(~F.col("kept")).alias("gone"), F.count_if(F.col("n_shingles") > 0).alias("n"))
+    told = settle(told.where("gone or n > 1"))
+    out = semi(docs, told.select("doc_id"), "doc_id", "left_anti")
+    again = settle(told.where("not gone").select("doc_id"))
+    if not again.take(1):
+        return out
+    rows = semi(docs, again, "doc_id")
+    some = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = rows.where(some).groupBy("doc_id").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "text").alias("__row")).select("__row.*")
+    return out.unionByName(one.select(*docs.columns)).unionByName(rows.where(~some).select(*docs.columns))
