@@ -1,18 +1,24 @@
 """Secrets by a character convolutional network over candidates.
 
-Base findings come from three exact rules (assign, access, hex). Further candidates are runs of token characters with letters
-and digits. A network in numpy reads each candidate with its context on both sides, a long one in several windows: byte embeddings, one convolution, ReLU,
-maximum over places, a logistic output. It is trained on labelled findings: base findings with varied characters
-are positives; placeholders, other numbers and tokens of the texts and ordinary places are negatives. At most SAMPLE findings of each label are
-taken, chosen by hash (a documented parameter). A quarter calibrates the scores (Platt) and sets the threshold: the highest
-that still finds RECALL of its positives, 0.5 at least. Candidates above it that don't overlap base findings are added as kind `likely`.
+Base findings come from three exact rules (assign, access, hex). Further candidates are runs of LEAST token characters and more that
+hold a letter and a digit, or a capital behind a small letter. A network in numpy reads each candidate with its context on both sides,
+a long one in several windows: byte embeddings, one convolution, ReLU,
+maximum over places, a logistic output. It is trained on labelled findings. Positives: base findings with varied characters, as they
+stand, and the same keys written in other alphabets (base 64, capitals) in the ordinary places of their text, so that neither one
+alphabet nor a telling word before it is needed. Negatives: placeholders, other numbers and addresses, ordinary places, and runs of
+the text's own words joined as names, paths and dates are. At most SAMPLE findings of each label are
+taken, those with the smallest hashes (a documented parameter), so the layout of the table doesn't matter. An eighth calibrates the scores
+(Platt); another eighth sets the threshold: the highest that still finds RECALL of its positives. Candidates that reach it and don't
+overlap base findings are added as kind `likely`.
 
 Only texts with a keyword or a long run are read closely; the rest is passed over by byte tables. Null counts as empty. Empty
-texts have no findings; repeated rows are scored alike.
+texts have no findings, an empty table no rows; without findings of both labels there is no network and nothing is added. Repeated rows,
+with or without doc_id, are scored alike; columns besides doc_id and text are left aside.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 
@@ -21,22 +27,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bound, buffers, joined_spans, keys, settle
+from .common import blocks, bound, bounded_batches, buffers, joined_spans, keys, settle
 
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])|.*[a-z].*[A-Z]", re.S)
 NUMBER = re.compile(r"[0-9][0-9 .()-]{8,}[0-9]|[a-z0-9._-]+@[a-z0-9.-]+")
 BASE = ("assign", "access", "hex")
 WORDS = [b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"]
 PLACEHOLDER = re.compile(r"(?i)example|changeme|placeholder|your|xxxx|^(.)\1+$")
-SAMPLE, RECALL = 1500, 0.97
+SAMPLE, RECALL = 2000, 0.97
 BEFORE, AFTER = 24, 56
-SIZE, FILTERS, WIDTH, DIM = BEFORE + AFTER, 16, 5, 8
+SIZE, FILTERS, WIDTH, DIM = BEFORE + AFTER, 24, 7, 8
 _C = np.arange(256)
 _TOKEN = ((_C >= 48) & (_C <= 57)) | ((_C >= 65) & (_C <= 90)) | ((_C >= 97) & (_C <= 122)) | np.isin(_C, [43, 47, 95, 61, 45])
 _DIGIT = (_C >= 48) & (_C <= 57)
+_CAPITAL = (_C >= 65) & (_C <= 90)
 _HEX = _DIGIT | ((_C >= 97) & (_C <= 102))
 
 
@@ -50,9 +59,9 @@ def _runs(inside: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 def worth_reading(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Which texts may have a candidate. Runs may join over the end of a text; that only reads more."""
     at = []
-    s, e = _runs(_TOKEN[data], 20)
+    s, e = _runs(_TOKEN[data], LEAST)
     if len(s):
-        seen = np.concatenate([[0], np.cumsum(_DIGIT[data])])
+        seen = np.concatenate([[0], np.cumsum((_DIGIT | _CAPITAL)[data])])
         at.append(s[seen[e] > seen[s]])
     at.append(_runs(_HEX[data], 24)[0])
     raw = data.tobytes()
@@ -83,14 +92,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def other_candidates(text: str, spans) -> list[tuple[int, int]]:
-    """Runs of token characters with a letter and a digit that overlap no base finding."""
+    """Runs of token characters, mixed as keys are, that overlap no base finding."""
     out, k = [], 0
     ends = sorted((s, e) for _, s, e in spans)
     for m in RUN.finditer(text):
         s, e = m.span()
         while k < len(ends) and ends[k][1] <= s:
             k += 1
-        if not any(a < e and b > s for a, b in ends[k : k + 4]) and re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]):
+        if not any(a < e and b > s for a, b in ends[k : k + 4]) and MIXED.match(m[0]):
             out.append((s, e))
     return out
 
@@ -108,34 +117,62 @@ def windows(text: str, s: int, e: int) -> list[bytes]:
     return [window(text, k, e) for k in ([*range(s, end, AFTER), end] if end > s else [s])]
 
 
-def _findings(batches):
-    """Labelled windows of texts: (order, label, window)."""
+def _order(w: bytes, y: int) -> int:
+    return int.from_bytes(hashlib.blake2b(w, digest_size=7, salt=bytes([y])).digest(), "big")
+
+
+def _labelled(t: str, spans, close: bool):
+    """Windows of a text with their labels; close: whether it may hold findings."""
+    h = int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "big")
+    ordinary = [int(x) for x in keys(h & 0xFFFF, 4) % np.uint64(max(1, len(t)))] if t else []
+    for k, s, e in spans:
+        m = ASSIGN.match(t, s) if k == "assign" else None
+        s = m.start(2) if m else s
+        value = t[s:e]
+        y = int(len(set(value)) >= 6 and not PLACEHOLDER.search(value))
+        yield y, window(t, s, e)
+        if y:
+            for n, at in enumerate(ordinary):
+                key = hashlib.blake2b(value.encode() + bytes([n]), digest_size=18 + 6 * n).digest()
+                own = base64.b64encode(key).decode().rstrip("=") if n else key.hex().upper()
+                yield 1, window(f"{t[:at]} {own} {t[at:]}", at + 1, at + 1 + len(own))
+    if close:
+        ends = sorted((s, e) for _, s, e in spans)
+        k = 0
+        for m in NUMBER.finditer(t):
+            while k < len(ends) and ends[k][1] <= m.start():
+                k += 1
+            if not any(a < m.start() + AFTER and z > m.start() - BEFORE for a, z in ends[max(k - 1, 0) : k + 8]):
+                yield 0, window(t, *m.span())
+    if close or h % 16 == 0:  # ordinary places also come from one text in 16, told by its hash
+        words = re.findall(r"\b[A-Z]?[a-z]{1,12}\b", t)
+        open_ = [(a, z) for _, a, z in spans] + other_candidates(t, spans)
+        for n, at in enumerate(ordinary):
+            if any(a < at + AFTER and z > at - BEFORE for a, z in open_):  # not beside what may be a secret
+                continue
+            yield 0, window(t, at, at + 8)
+            own = [words[(h >> (7 * j)) % len(words)] for j in range(4)] if words else []
+            name = [f"{'-'.join(own)}-{h % 2100}", f"/{'/'.join(own)}/{h % 97}", "".join(w.capitalize() for w in own), f"{h % 31}-{h % 12}-20{h % 89 + 10}_{'_'.join(own)}"][(h + 2 * n) % 4]
+            yield 0, window(f"{t[:at]} {name} {t[at:]}", at + 1, at + 1 + len(name))
+
+
+def _findings(batches, sample):
+    """Labelled windows of texts, (order, label, window): of each label those with the smallest orders, sample at most."""
+    best: dict[int, dict] = {0: {}, 1: {}}
     for b in batches:
         data, offs = buffers(b.column(0))
-        order, label, wins = [], [], []
         for i, j in blocks(offs):
             part, at = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             flags = worth_reading(part, at)
             for d in range(j - i):
-                if not flags[d] and (d + i) % 16:  # ordinary places come from one text in 16
-                    continue
                 t = part[at[d] : at[d + 1]].tobytes().decode()
-                got = []
-                spans = base_spans(t) if flags[d] else []
-                for k, s, e in spans:
-                    m = ASSIGN.match(t, s) if k == "assign" else None
-                    s = m.start(2) if m else s
-                    value = t[s:e]
-                    got.append((int(len(set(value)) >= 6 and not PLACEHOLDER.search(value)), s, e))
-                got += [(0, *m.span()) for m in NUMBER.finditer(t) if not any(a < m.end() and z > m.start() for _, a, z in spans)][:20] if flags[d] else []
-                ordinary = keys(len(t), 2) % np.uint64(max(1, len(t)))
-                got += [(0, int(s), int(s) + 8) for s in ordinary] if t else []
-                for y, s, e in got:
-                    w = window(t, s, e)
-                    order.append(int.from_bytes(hashlib.blake2b(w, digest_size=7).digest(), "big"))
-                    label.append(y)
-                    wins.append(w)
-        yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(label, pa.int32()), pa.array(wins, pa.binary())], ["ord", "label", "win"])
+                for y, w in _labelled(t, base_spans(t) if flags[d] else [], bool(flags[d])):
+                    best[y][_order(w, y)] = w
+                for y in best:
+                    if len(best[y]) > 4 * sample:
+                        best[y] = dict(sorted(best[y].items())[:sample])
+    rows = [(o, y, w) for y in best for o, w in sorted(best[y].items())[:sample]]
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["ord", "label", "win"])
 
 
 class Network:
@@ -163,11 +200,11 @@ class Network:
     def scores(self, wins: list[bytes]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.margins(wins) + self.shift, -30, 30)))
 
-    def train(self, wins: list[bytes], labels: np.ndarray, epochs: int = 6, rate: float = 0.05, seed: int = 4) -> Network:
+    def train(self, wins: list[bytes], labels: np.ndarray, epochs: int = 30, rate: float = 0.4, seed: int = 4) -> Network:
         x = np.frombuffer(b"".join(wins), np.uint8).reshape(-1, SIZE)
         rng = np.random.default_rng(seed)
-        cal = np.arange(len(x)) % 4 == 3
-        own = np.flatnonzero(~cal)
+        cal, last = np.arange(len(x)) % 8 == 3, np.arange(len(x)) % 8 == 7
+        own = np.flatnonzero(~cal & ~last)
         for ep in range(epochs):
             rng.shuffle(own)
             lr = np.float32(rate * (1 - ep / epochs))
@@ -194,14 +231,15 @@ class Network:
             for _ in range(300):
                 g = soft - 1 / (1 + np.exp(-np.clip(self.scale * m + self.shift, -30, 30)))
                 self.scale, self.shift = self.scale + 0.05 * float((g * m).mean()), self.shift + 0.2 * float(g.mean())
-            p = np.sort(1 / (1 + np.exp(-np.clip(self.scale * m[y == 1] + self.shift, -30, 30))))
-            self.threshold = max(0.5, float(p[int(len(p) * (1 - RECALL))]))
+        p = np.sort(self.scores([wins[i] for i in np.flatnonzero(last & (labels == 1))]))
+        if len(p):
+            self.threshold = float(p[int(len(p) * (1 - RECALL))])
         return self
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network from the findings of docs; None without findings of both labels."""
-    got = settle(bound(docs, {"text": "string"}).mapInArrow(_findings, "ord bigint, label int, win binary").dropDuplicates(["ord", "label"]))
+    got = settle(bound(docs, {"text": "string"}).mapInArrow(lambda it: _findings(it, sample), "ord bigint, label int, win binary").dropDuplicates(["ord", "label"]))
     rows = [r for y in (0, 1) for r in got.where(F.col("label") == y).orderBy("ord", "win").limit(sample).collect()]  # at most 2 * sample windows
     rows.sort(key=lambda r: (r["ord"], bytes(r["win"])))
     y = np.array([r["label"] for r in rows], np.float32)
@@ -239,6 +277,7 @@ def _each(text: pa.Array, net):
 
 
 def finder(net: Network | None, spark):
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(net)
 
     def run(text: pa.Array) -> pa.Array:
@@ -253,6 +292,7 @@ def finder(net: Network | None, spark):
 
 def redactor(net: Network | None, spark, mask: str = "[SECRET]"):
     """A column function from text to the text with every finding masked; null stays null."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(net)
 
     def run(text: pa.Array) -> pa.Array:
