@@ -2,11 +2,15 @@
 
 A URL becomes a set of tokens: labels of its host, words of its path, keys of its query, its scheme and ending; numbers
 are left out. FP-growth mines frequent sets of labelled URLs that contain a verdict; rules below MIN_SUPPORT or
-MIN_CONFIDENCE go. What is left matches through an inverted index from a token to the rules that need it: a rule holds if
-the URL has all its tokens. Block wins if its best rule is surer than allow's; without any rule the verdict is allow.
-
-Null, or no "://": host and path are empty, no listed rule fits. Empty and repeated rows are judged by themselves. The number
-of mined rules is bounded by support and MAX_TOKENS, not by the input.
+MIN_CONFIDENCE go, and so do rules that their rows don't tell from chance: the lower end of the confidence's interval (Wilson,
+Z standard deviations) must lie above the share of the verdict among all labelled rows. That end is how sure a rule is, so few
+rows can tell if they agree well enough, in a table of any size. A rule that is no surer than one with fewer of its tokens goes too.
+What is left matches through an inverted index from a token to the rules that need it: a rule holds if
+the URL has all its tokens. Block wins if its best rule is surer than allow's (a tie allows); without any rule the verdict is allow.
+
+Null, or no "://": host and path are empty, no listed rule fits. Empty and repeated rows, with or without page_id, are judged by
+themselves; empty tables give no rows and no rules; columns besides the key and url are left aside. The number
+of mined rules is bounded by support and by how many tokens a URL has, not by the input.
 """
 
 from __future__ import annotations
@@ -22,9 +26,9 @@ from .native import lower_ascii
 
 #: Fixed rules: verdict, host, path.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.001, 0.5, 3
-#: A rule also needs so many labelled rows; a share of a small table alone would let single rows make rules.
-MIN_ROWS = 20
+MIN_SUPPORT, MIN_CONFIDENCE = 0.001, 0.5
+#: Thousands of sets are tried, so a rule by chance should be one in more than that.
+Z = 4.0
 
 
 def _rest(url: Column) -> Column:
@@ -64,20 +68,34 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda x: F.char_length(x) > 2))
 
 
+def _lower_end(share: Column, n: Column) -> Column:
+    """The lower end of Wilson's interval of a share of n rows."""
+    z2 = Z * Z
+    return (share + z2 / (2 * n) - Z * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[dict]:
     """Rules from labelled URLs (url, verdict): tokens, verdict, sure."""
-    rows = settle(labelled.where("verdict is not null").select(F.array_append(tokens(F.col("url")), F.concat(F.lit("v:"), "verdict")).alias("items")))
-    n = rows.count()
-    if not n:
+    rows = settle(labelled.where("verdict is not null").select("verdict", tokens(F.col("url")).alias("own")))
+    shares = {r["verdict"]: r["n"] for r in rows.groupBy("verdict").agg(F.count("*").alias("n")).collect()}  # one row a verdict
+    n = sum(shares.values())
+    if len(shares) < 2:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_ROWS / n)), minConfidence=min_confidence).fit(rows)
-    kept = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("v:")) & (F.size("antecedent") <= MAX_TOKENS))
-    got = kept.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 3, 99).alias("verdict"), F.col("confidence").alias("sure")).collect()
-    best: dict = {}
-    for r in sorted(got, key=lambda r: (len(r["tokens"]), r["tokens"])):  # a longer rule that is no surer than a part of it goes
-        if not any(set(k[0]) <= set(r["tokens"]) and k[1] == r["verdict"] and v >= r["sure"] for k, v in best.items()):
-            best[tuple(r["tokens"]), r["verdict"]] = r["sure"]
-    return [{"tokens": list(k[0]), "verdict": k[1], "sure": v} for k, v in sorted(best.items())]
+    # a token of every row tells nothing: any set with it has the same rows without it
+    held = rows.select(F.explode("own").alias("t")).groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") == n)
+    always = F.array(*(F.lit(r["t"]) for r in held.collect())) if held.take(1) else F.array().cast("array<string>")  # at most one URL's tokens
+    items = rows.select(F.array_append(F.array_except("own", always), F.concat(F.lit("v:"), "verdict")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    kept = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("v:")))
+    kept = kept.select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 3, 99).alias("verdict"), F.col("confidence"), F.round(F.col("support") * n / F.col("confidence")).alias("rows"))
+    base = F.create_map(*(x for v, k in sorted(shares.items()) for x in (F.lit(v), F.lit(k / n))))
+    kept = settle(kept.withColumn("sure", F.round(_lower_end(F.col("confidence"), F.col("rows")), 12)).where(F.col("sure") > base[F.col("verdict")]))
+    # dominated: a rule of a part of the tokens is as sure; that part's first token is one of the rule's
+    part = kept.select(F.col("tokens").alias("fewer"), "verdict", F.col("sure").alias("as_sure"), F.col("tokens")[0].alias("t"))
+    beaten = kept.select("tokens", "verdict", "sure", F.explode("tokens").alias("t")).join(part, ["t", "verdict"])
+    beaten = beaten.where((F.size("fewer") < F.size("tokens")) & (F.col("as_sure") >= F.col("sure")) & (F.size(F.array_except("fewer", "tokens")) == 0)).select("tokens", "verdict").distinct()
+    got = kept.join(beaten, ["tokens", "verdict"], "left_anti").select("tokens", "verdict", "sure").collect()  # bounded: see the module
+    return sorted(({"tokens": list(r["tokens"]), "verdict": r["verdict"], "sure": r["sure"]} for r in got), key=lambda r: (r["tokens"], r["verdict"]))
 
 
 def judge(pages: DataFrame, mined: list[dict], key: str = "page_id") -> DataFrame:
