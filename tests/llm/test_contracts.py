@@ -115,22 +115,43 @@ def test_license_gate_lets_every_form_through(spark):
 
 
 def test_near_dedup(docs, empty):
-    got = rows(near_dedup.near_dedup(docs))
+    got = rows(near_dedup.near_dedup(docs, 85))
     want = brute.near(DOCS)
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.values())
     assert near_dedup.near_dedup(empty).collect() == []
-    kept = near_dedup.kept_documents(docs)
+    kept = near_dedup.kept_documents(docs, 85)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
 def test_near_dedup_of_repeated_rows(docs):
     twice = docs.unionByName(docs)
-    got = near_dedup.near_dedup(twice).collect()
+    got = near_dedup.near_dedup(twice, 85).collect()
     want = brute.near(DOCS)
     assert len(got) == 2 * len(DOCS) and all(r["component_id"] == want[r["doc_id"]][1] for r in got)
 
 
+def test_kept_documents_of_repeated_ids(spark):
+    t = "one two three four five six seven"
+    own = [(1, t, "a"), (1, t, "a"), (1, t, "b"), (2, t, "a"), (3, "", "a"), (3, "", "a"), (4, None, "a"), (4, "other words here", "a"), (None, t, "a"), (None, t, "a")]
+    d = spark.createDataFrame(own, "doc_id bigint, text string, near string")
+    got = [(r["doc_id"], r["text"]) for r in near_dedup.kept_documents(d).collect()]
+    assert sorted(got, key=str) == sorted([(1, t), (3, ""), (3, ""), (4, None), (4, "other words here"), (None, t), (None, t)], key=str)
+
+
+def test_forest_finds_nearly_all_links_of_a_template(spark):
+    """A large family just below the threshold, with pairs just above it inside: every such pair is found."""
+    r = random.Random(12)
+    base = [f"t{k}" for k in range(400)]
+    own = []
+    for k in range(100):  # any two of different k share about 0.7 of their shingles
+        w = [*base[:340], *(f"v{k}n{j}" for j in range(60))]
+        own += [(2 * k, " ".join(w)), (2 * k + 1, " ".join([*w[: 20 + k], f"e{k}", *w[21 + k : 200 + r.randint(0, 90)], f"f{k}", *w[300:]]))]
+    want = {i: c for i, (_, c) in brute.near(own).items()}
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_dedup(spark.createDataFrame(own, "doc_id bigint, text string"), 85).collect()}
+    assert got == want
+
+
 def test_near_dedup_dense_region(spark):
     """A large group of near copies whose regions are dense at full depth."""
     base = [f"w{k}" for k in range(300)]
@@ -138,7 +159,7 @@ def test_near_dedup_dense_region(spark):
     # further from the group than the threshold, some of them near each other
     own += [(300 + k, " ".join(w if (i + k // 2) % 50 else f"z{k // 2}{i}" for i, w in enumerate([*base, f"u{k}"]))) for k in range(60)]
     own += [(1000 + k, " ".join([*base[:100], *(f"y{k}{j}" for j in range(200))])) for k in range(30)]
-    got = rows(near_dedup.near_dedup(spark.createDataFrame(own, "doc_id bigint, text string")))
+    got = rows(near_dedup.near_dedup(spark.createDataFrame(own, "doc_id bigint, text string"), 85))
     want = {i: c for i, (_, c) in brute.near(own).items()}
     assert {i: r["component_id"] for i, r in got.items()} == want and len(set(want.values())) > 20
 
@@ -172,6 +193,22 @@ def test_decontaminate_in_blocks(spark, docs, monkeypatch):
     got = rows(decontaminate.scan(docs, bench))
     want = brute.hits(DOCS, [x for x in ITEMS if x[0] is not None])
     assert {i: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for i, r in got.items()} == want
+    assert len(list(decontaminate.item_blocks(bench))) > 2
+    clean = decontaminate.clean_documents(docs.withColumn("__hit", F.lit(1)).drop("__hit").unionByName(docs), bench)
+    assert clean.columns == docs.columns and sorted(r["doc_id"] for r in clean.collect()) == sorted(2 * [i for i, (n, h, _, _) in want.items() if not (h and 20 * h >= n)])
+
+
+@pytest.mark.parametrize("most", [2_000_000, 5])
+def test_repeated_items_and_rows_without_id(spark, docs, monkeypatch, most):
+    """Items of one id count once; rows without doc_id are judged; columns of the benchmark don't clash."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", most)
+    items = [x for x in ITEMS if x[0] is not None] * 2 + [(1, "mit license here")]
+    bench = spark.createDataFrame([(i, t, "b", 1) for i, t in items], "item_id bigint, text string, doc_id string, n_words int")
+    want = brute.hits(DOCS, items)
+    got = rows(decontaminate.scan(docs, bench))
+    assert {i: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for i, r in got.items()} == want
+    none = decontaminate.scan(docs.withColumn("doc_id", F.lit(None).cast("bigint")), bench).collect()
+    assert sorted((r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in none) == sorted(want.values())
 
 
 def test_secrets(docs, empty):
@@ -190,6 +227,38 @@ def test_secrets(docs, empty):
             assert not brute.secrets(clean[i]["text"]) and clean[i]["n_chars"] == len(clean[i]["text"])
 
 
+def test_network_adds_secrets_that_no_base_rule_finds(spark):
+    """Planted keys of other forms are found, names, paths and dates aren't; the layout of the table makes no difference."""
+    import numpy as np
+
+    r = random.Random(2)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    some = lambda n: " ".join(r.choices(WORDS, k=n))
+    own, planted, plain = [], [], []
+    for k in range(900):
+        t = some(40)
+        if k % 3 == 0:
+            value = "".join(r.choices("0123456789abcdef", k=40)) if k % 2 else "".join(r.choices(alphabet, k=24))
+            t += f' {r.choice(["token", "password", "api_key"])} = "{value}" ' + some(10)
+        elif k % 9 == 1:
+            key = r.choice(["ghp_" + "".join(r.choices(alphabet, k=36)), "".join(r.choices(alphabet, k=32)), "sk_live_" + "".join(r.choices(alphabet, k=24))])
+            planted.append((k, len(t) + 1, len(t) + 1 + len(key)))
+            t += f" {key} " + some(10)
+        elif k % 9 == 2:
+            name = r.choice(["-".join(r.choices(WORDS, k=5)) + "-2021", "/usr/lib/" + "/".join(r.choices(WORDS, k=4)) + "/v2", "2021-03-04T11-22-33-00"])
+            plain.append((k, len(t) + 1, len(t) + 1 + len(name)))
+            t += f" {name} " + some(10)
+        own.append((k, t))
+    d = spark.createDataFrame(own, "doc_id bigint, text string")
+    one, two = secrets.fit(d.repartition(2)), secrets.fit(d.repartition(5, "text"))
+    assert (one.conv == two.conv).all() and (one.emb == two.emb).all() and one.threshold == two.threshold
+    got = {i: x["spans"] for i, x in rows(secrets.scan(d, one)).items()}
+    assert np.mean([f"likely:{s}:{e}" in got[k] for k, s, e in planted]) >= 0.9
+    assert np.mean([f"likely:{s}:{e}" in got[k] for k, s, e in plain]) <= 0.1
+    twice = secrets.scan(d.unionByName(d).select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit(1).alias("spans")), one).collect()
+    assert sorted(x["spans"] for x in twice) == sorted([*got.values()] * 2)
+
+
 def test_network_learns_and_keeps_recall():
     r = random.Random(3)
     hexes = [secrets.window("x = " + "".join(r.choices("0123456789abcdef", k=40)), 4, 44) for _ in range(300)]
@@ -410,7 +479,54 @@ def test_mined_rules(spark):
     assert any(r["tokens"] == ["p:pills"] and r["verdict"] == "block" for r in mined)
     pages = spark.createDataFrame([(1, "http://new.example.net/pills/x"), (2, "http://new.example.net/news/x"), (3, "http://z.example.org/pills/")], "page_id bigint, url string")
     assert {i: r["verdict"] for i, r in rows(url_rules.judge(pages, mined), "page_id").items()} == {1: "block", 2: "allow", 3: "allow"}
-    assert url_rules.mine(spark.createDataFrame([], "url string, verdict string")) == []
+    none = spark.createDataFrame([], "url string, verdict string")
+    assert url_rules.mine(none) == []
+    assert url_rules.judge(pages.where("false"), mined).collect() == []
+    odd = pages.select(F.lit(None).cast("bigint").alias("page_id"), "url", F.lit("x").alias("verdict"), F.lit("y").alias("met"))
+    assert sorted(r["verdict"] for r in url_rules.judge(odd.unionByName(odd), mined).collect()) == ["allow"] * 4 + ["block"] * 2
+
+
+def test_mined_rules_against_all_subsets(spark):
+    """Rules and verdicts against a count of every set of tokens; chance makes no rule, and the size of the table no difference."""
+    import itertools
+
+    r = random.Random(9)
+    hosts, words = ["a.example.net", "b.example.net", "c.test"], ["news", "pills", "shop", "blog", "wiki"]
+    own = []
+    for k in range(240):
+        h, w, q = r.choice(hosts), r.choice(words), r.choice(["", "?ref=1", "?ref=1&buy=2"])
+        bad = w != "news" and ((w == "pills" and r.random() < 0.95) or (h == "c.test" and "buy" in q and r.random() < 0.9) or r.random() < 0.2)
+        own.append((f"http://{h}/{w}/{k}{q}", "block" if bad else "allow"))
+    labelled = spark.createDataFrame(own, "url string, verdict string")
+    sets = [(frozenset(x["t"]), x["verdict"]) for x in labelled.select(url_rules.tokens(F.col("url")).alias("t"), "verdict").collect()]
+
+    def lower(p, n, z=url_rules.Z):
+        return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+    always = frozenset.intersection(*(t for t, _ in sets))
+    base = {v: sum(x == v for _, x in sets) / len(sets) for v in ("block", "allow")}
+    counts = {}
+    for t, v in sets:
+        for n in range(1, len(t - always) + 1):
+            for c in itertools.combinations(sorted(t - always), n):
+                counts.setdefault(c, {"block": 0, "allow": 0})[v] += 1
+    rules = {}
+    for c, by in counts.items():
+        for v, n in by.items():
+            rows_ = sum(by.values())
+            if n and n / rows_ >= 0.5 and n / len(sets) >= url_rules.MIN_SUPPORT and round(lower(n / rows_, rows_), 12) > base[v]:
+                rules[c, v] = round(lower(n / rows_, rows_), 12)
+    kept = {k: p for k, p in rules.items() if not any(v == k[1] and len(c) < len(k[0]) and set(c) <= set(k[0]) and q >= p for (c, v), q in rules.items())}
+    mined = url_rules.mine(labelled)
+    assert {(tuple(x["tokens"]), x["verdict"]): pytest.approx(x["sure"]) for x in mined} == kept and len({v for _, v in kept}) == 2
+    pages = spark.createDataFrame(list(enumerate(u for u, _ in own)), "page_id bigint, url string")
+    got = rows(url_rules.judge(pages, mined), "page_id")
+    for k, (t, _) in enumerate(sets):
+        best = {v: max((p for (c, x), p in kept.items() if x == v and set(c) <= t), default=0) for v in ("block", "allow")}
+        assert got[k]["verdict"] == ("block" if best["block"] > best["allow"] else "allow")
+    assert sum(x["verdict"] == "block" for x in got.values()) > 30
+    chance = [(u, "block" if r.random() < 0.3 else "allow") for u, _ in own]
+    assert not [x for x in url_rules.mine(spark.createDataFrame(chance, "url string, verdict string")) if x["verdict"] == "block"]
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{margin:0}</style><script>var t="</p>";</script></head><body class="has-sidebar">
@@ -429,6 +545,40 @@ def test_html(spark):
     assert got[0]["text"] == want and got[0]["n_chars"] == len(want)
     assert got[1]["text"] == long.strip() + "\nShort end."
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+    e = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert html_text.extract(e).collect() == []
+    twice = html_text.extract(spark.createDataFrame([(None, "u", PAGE)] * 2, e.schema)).collect()
+    assert [r["text"] for r in twice] == [want] * 2
+    deep = "<div>" * 200 + "".join(f"<p>{long} {k}</p>" for k in range(3000))
+    assert html_text.main_text(deep).count("\n") == 2999
+
+
+def test_closing_looks_back_as_far_as_it_must():
+    """An item ends at the next one however many elements stay open in it; parts of an article keep their names."""
+    long = "This is the text of the page and it is as long as it can be for the sake of the test that we have here. " * 3
+    for n in (0, 10, 70, 500):
+        assert html_text.main_text(f'<ul><li class="ad">Buy {"<span>" * n}now<li>{long}</ul>') == long.strip()
+    parts = "".join(f'<div {a}><p>{k} {long}</p></div>' for k, a in enumerate(['class="related-work"', 'id="social-history"', 'id="discussion"', 'class="text"']))
+    out = "".join(f'<div {a}><p>{k} {long}</p></div>' for k, a in enumerate(['class="comment-list"', 'class="x ad-slot"', 'id="comments"', 'class="share-buttons"'], 10))
+    got = html_text.main_text(f"<article>{parts}{out}</article>").split("\n")
+    assert [int(x.split()[0]) for x in got] == [0, 1, 2, 3]
+
+
+def test_html_against_what_pages_are_made_of():
+    """Precision and recall of words over made pages, with and without article tags."""
+    r = random.Random(4)
+    stop = "the of and to in is that for it as was with be on not he by but are this".split()
+    sentence = lambda n: " ".join(r.choice(stop) if r.random() < 0.4 else r.choice(WORDS) for _ in range(n)) + "."
+    hit = made = told = 0
+    for k in range(200):
+        tag = ("article", "main", "div")[k % 3]
+        head, ps = sentence(6), [sentence(r.randint(30, 90)) for _ in range(r.randint(3, 9))]
+        nav = "<ul>" + "".join(f'<li><a href="/{w}">{w}</a></li>' for w in r.choices(WORDS, k=8)) + "</ul>"
+        links = "<div>" + " ".join(f"<a href=/{w}>{w} {w}</a>" for w in r.choices(WORDS, k=10)) + "</div>"
+        page = f"<html><body>{nav if k % 2 else ''}<div class=top>{links}</div><{tag}><h1>{head}</h1>{''.join(f'<p>{p}</p>' for p in ps)}</{tag}>{links}<div class=comments><p>{sentence(40)}</p></div><footer>{sentence(20)}</footer></body></html>"
+        want, got = set(" ".join([head, *ps]).split()), set(html_text.main_text(page).split())
+        hit, made, told = hit + len(want & got), made + len(got), told + len(want)
+    assert hit / made >= 0.95 and hit / told >= 0.95
 
 
 def test_article_is_a_prior_not_a_verdict():
