@@ -4,6 +4,7 @@
     engine.ingest(pages)                    # doc, page, text
     engine.search("budget"), engine.section("intro"), engine.page("report", 3), engine.query("what is the budget")
     engine.rerun_chunk("report", 2, pages)
+    engine.export()                         # manifest, index, section files, whole documents, raw blocks
 
 Tables lie under the root as Parquet, partitioned by document: writing a document again replaces its partitions only.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import chunking, reconcile, retrieval, sections
-from .sources import providers
+from .sources import providers, sinks
 
 
 class Engine:
@@ -38,7 +39,7 @@ class Engine:
         c = F.col("content")
         return b.select(
             F.col("doc").alias("source"), "page", "chunk", "ord", "block_type", "content",
-            F.when(F.col("block_type") == "heading", 1 + F.char_length("content") % 4).cast("bigint").alias("heading_level"),
+            F.when(F.col("block_type") == "heading", F.col("level")).alias("heading_level"),
             c.rlike("^\\p{Ll}").alias("is_continuation"), (~c.rlike("[.!?]$")).alias("is_truncated"), "in_tok", "out_tok", "error",
         ).withColumnRenamed("ord", "seq_in_chunk")
 
@@ -51,7 +52,7 @@ class Engine:
 
     def _store(self, raw: DataFrame) -> None:
         seq = F.col("chunk") * F.lit(1_000_000) + F.col("seq_in_chunk")
-        marked = sections.cut(reconcile.seams(raw.withColumn("seq", seq)))
+        marked = sections.cut(reconcile.full(sections.levelled(raw.withColumn("seq", seq), self._stored("toc"))))
         self._write(marked, "blocks")
         stored = self.table("blocks")
         secs = sections.named(sections.parents(sections.sections(stored)))
@@ -59,7 +60,15 @@ class Engine:
         md = sections.markdown(stored.join(levels, ["source", "ord"], "left"))
         self._write(secs.join(sections.bodies(md), ["source", "sec"], "left").na.fill("", ["body"]), "sections")
 
-    def ingest(self, pages: DataFrame) -> None:
+    def _stored(self, name: str) -> DataFrame | None:
+        """A table, or None if it was never written."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
+        return self.table(name) if at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at) else None
+
+    def ingest(self, pages: DataFrame, toc: DataFrame | None = None) -> None:
+        """pages (doc, page, text); toc (doc, title, level, page): the documents' own tables of contents, which then tell heading levels."""
+        if toc is not None:
+            self._write(toc.select(F.col("doc").alias("source"), "title", F.col("level").cast("bigint").alias("level"), F.col("page").cast("bigint").alias("page")), "toc")
         raw = self._blocks(self.plan(pages))
         self._write(raw, "raw_blocks")
         docs = pages.select(F.col("doc").alias("source")).distinct()
@@ -90,7 +99,25 @@ class Engine:
         return self.table("sections").groupBy("source").agg(F.count("*").alias("n_sections"), F.max("page_end").alias("pages"))
 
     def query(self, question: str, top: int = 3, least: int = 2) -> DataFrame:
-        """The best sections for a question with their text; lexical scores, no network."""
-        terms = [w.lower() for w in question.split()][:8] or [""]
+        """The best sections for a question with their text; lexical scores of all its words, no network."""
+        terms = list(dict.fromkeys(w.lower() for w in question.split())) or [""]
         scores = retrieval.lexical_scores(self.table("blocks"), terms)
         return retrieval.ranked(scores, top, least).join(self.table("sections").select("source", "sec", "filename", "body"), ["source", "sec"])
+
+    def toc(self) -> DataFrame:
+        return self.table("sections").select("source", "sec", "level", "title", "filename", "pages").orderBy("source", "sec")
+
+    def export(self, root: str | None = None) -> None:
+        """Manifest, index, section files with front matter, whole documents and raw blocks under root; files of earlier exports go,
+        files that aren't the engine's stay."""
+        root = root or self._path("export")
+        blocks, secs = self.table("blocks"), self.table("sections")
+        number = F.col("content").try_cast("bigint")
+        footers = blocks.where((F.col("block_type") == "footer") & number.isNotNull()).select("source", "page", number.alias("num"))
+        sinks.save_text(sinks.manifest(secs, self._stored("toc"), reconcile.suppressed(blocks), reconcile.numbering_gaps(footers)), root, "manifest")
+        sinks.save_text(sinks.index(secs), root, "index")
+        sinks.save_text(secs.withColumn("value", F.concat(sections.front_matter(secs), F.lit("\n"), "body")), root, "sections", by=("source", "filename"))
+        levels = sections.clamped(blocks.where("block_type = 'heading'"), ["source"]).select("source", "ord", F.col("level_out").alias("level"))
+        whole = sections.document_text(sections.page_breaks(sections.markdown(blocks.join(levels, ["source", "ord"], "left"))))
+        sinks.save_text(whole, root, "output", "md")
+        sinks.save_json(self.table("raw_blocks"), root, "raw_blocks")

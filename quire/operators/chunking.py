@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import ordered
-
 BUDGET, TABLE_BUDGET, MOST_PAGES = 20_000, 8_000, 20
 
 
@@ -14,24 +13,44 @@ def budget(table_heavy: Column) -> Column:
     return F.when(table_heavy, TABLE_BUDGET).otherwise(BUDGET).cast("bigint")
 
 
+def _folded(df: DataFrame, key: str, order: list[str], values: list[str], fold, out: str) -> DataFrame:
+    """A recurrence over each key's ordered rows as one pass over sorted partitions: one row's state at a time, whatever the
+    number of rows of a key. fold() gives a new state, a function from a row's values to the output values."""
+    kind = df.schema[key].dataType.simpleString()
+    names = [x.split()[0] for x in out.split(", ")]
+
+    def run(batches):
+        last, step = None, None
+        for b in batches:
+            rows = []
+            for k, *v in zip(*(b.column(c).to_pylist() for c in range(b.num_columns))):
+                if step is None or k != last:
+                    last, step = k, fold()
+                rows.append(step(*v))
+            cols = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * len(names)
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], [key, *names])
+
+    cols = df.select(key, *(F.col(c).cast("bigint").alias(c) for c in values), *(c for c in order if c not in values))
+    return cols.repartition(key).sortWithinPartitions(key, *order).select(key, *values).mapInArrow(run, f"{key} {kind}, {out}")
+
+
 def greedy_chunks(pages: DataFrame) -> DataFrame:
     """pages (source, page, tokens, budget) with chunk: a page opens a new chunk if the current one has pages and
-    either MOST_PAGES of them or no room for it within this page's budget. A recurrence, folded over each
-    document's ordered pages."""
-    lists = pages.groupBy("source").agg(ordered("page", "tokens", "budget").alias("ps"))
-    start = F.struct(F.lit(0).cast("bigint").alias("chunk"), F.lit(0).cast("bigint").alias("acc"), F.lit(0).cast("bigint").alias("n"), F.array().cast("array<struct<page:bigint,tokens:bigint,chunk:bigint>>").alias("out"))
+    either MOST_PAGES of them or no room for it within this page's budget."""
+
+    def fold():
+        chunk = used = n = 0
 
-    def step(s, p):
-        new = (s["n"] > 0) & ((s["acc"] + p["tokens"] > p["budget"]) | (s["n"] >= MOST_PAGES))
-        chunk = s["chunk"] + F.when(new, 1).otherwise(0)
-        return F.struct(
-            chunk.cast("bigint").alias("chunk"),
-            (F.when(new, 0).otherwise(s["acc"]) + p["tokens"]).cast("bigint").alias("acc"),
-            (F.when(new, 0).otherwise(s["n"]) + 1).cast("bigint").alias("n"),
-            F.array_append(s["out"], F.struct(p["page"].alias("page"), p["tokens"].alias("tokens"), chunk.cast("bigint").alias("chunk"))).alias("out"),
-        )
+        def step(page, tokens, most):
+            nonlocal chunk, used, n
+            if n and (used + tokens > most or n >= MOST_PAGES):
+                chunk, used, n = chunk + 1, 0, 0
+            used, n = used + tokens, n + 1
+            return page, tokens, chunk
 
-    return lists.select("source", F.inline(F.aggregate("ps", start, step, lambda s: s["out"])))
+        return step
+
+    return _folded(pages, "source", ["page", "tokens", "budget"], ["page", "tokens", "budget"], fold, "page bigint, tokens bigint, chunk bigint")
 
 
 def chunk_summary(chunks: DataFrame) -> DataFrame:
@@ -66,23 +85,26 @@ def halved(ranges: DataFrame, most: int = 3, rounds: int = 40) -> DataFrame:
 def limited(calls: DataFrame, limit: int, window: int = 60) -> DataFrame:
     """calls (run, call, sec, tok): seconds that each call waits under a limiter of `limit` tokens in windows of `window` seconds.
     A window begins with the first call at least `window` seconds behind its start; a call that doesn't fit waits for the next."""
-    lists = calls.groupBy("run").agg(ordered("sec", "call", "tok").alias("cs"))
-    start = F.struct(F.lit(None).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("used"), F.lit(None).cast("bigint").alias("now"), F.array().cast("array<struct<call:bigint,wait:bigint>>").alias("out"))
-
-    def step(s, c):
-        now = F.greatest(F.coalesce(s["now"], c["sec"]), c["sec"])
-        fresh = s["at"].isNull() | (now - s["at"] >= window)
-        at, used = F.when(fresh, now).otherwise(s["at"]), F.when(fresh, 0).otherwise(s["used"])
-        full = (used > 0) & (used + c["tok"] > limit)
-        wait = F.when(full, at + window - now).otherwise(0)
-        return F.struct(
-            F.when(full, at + window).otherwise(at).cast("bigint").alias("at"),
-            F.when(full, c["tok"]).otherwise(used + c["tok"]).cast("bigint").alias("used"),
-            (now + wait).cast("bigint").alias("now"),
-            F.array_append(s["out"], F.struct(c["call"].alias("call"), (now + wait - c["sec"]).cast("bigint").alias("wait"))).alias("out"),
-        )
-
-    return lists.select("run", F.inline(F.aggregate("cs", start, step, lambda s: s["out"])))
+
+    def fold():
+        at = now = None
+        used = 0
+
+        def step(sec, call, tok):
+            nonlocal at, now, used
+            now = max(sec if now is None else now, sec)
+            if at is None or now - at >= window:
+                at, used = now, 0
+            if used and used + tok > limit:
+                at = now = at + window
+                used = tok
+            else:
+                used += tok
+            return call, now - sec
+
+        return step
+
+    return _folded(calls, "run", ["sec", "call", "tok"], ["sec", "call", "tok"], fold, "call bigint, wait bigint")
 
 
 def tail(blocks: DataFrame, pages: int = 3) -> DataFrame:

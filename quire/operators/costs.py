@@ -38,8 +38,8 @@ def succeeded(warnings: Column, chars: Column) -> Column:
 
 
 def combinations(files: DataFrame, methods: DataFrame) -> DataFrame:
-    """Every file with every method. methods is the registry: one row a method."""
-    return files.crossJoin(F.broadcast(methods.limit(1000)))
+    """Every file with every method. methods is the registry, one row a method; a few are broadcast."""
+    return files.crossJoin(F.broadcast(methods) if methods.count() <= 1000 else methods)
 
 
 def matrix(results: DataFrame, methods: list[str]) -> DataFrame:

@@ -56,6 +56,33 @@ def seams(blocks: DataFrame) -> DataFrame:
     return mark_repeated(drop_adjacent_duplicates(canonical(blocks)))
 
 
+def full(blocks: DataFrame) -> DataFrame:
+    """The whole composition for blocks (source, page, block_type, content, chunk, seq, is_truncated, is_continuation): seams, then list
+    items linked to what they continue (continued_from), headings that end a chunk moved to the next, and risk: whether a block is
+    cut off, or the next one goes on, where chunks meet. No block but adjacent duplicates goes."""
+    x = seams(blocks)
+    w = Window.partitionBy("source").orderBy("ord")
+    links = F.lag("is_truncated").over(w) & F.col("is_continuation") & (F.col("block_type") == "list_item") & (F.lag("block_type").over(w) == "list_item")
+    x = x.withColumn("continued_from", F.when(links, F.lag("ord").over(w)))
+    x = orphaned_headings(x).drop("chunk").withColumnRenamed("new_chunk", "chunk")
+    cut = (F.lead("chunk").over(w) != F.col("chunk")) & (F.col("is_truncated") | F.lead("is_continuation").over(w))
+    return x.withColumn("risk", F.coalesce(cut, F.lit(False)))
+
+
+def decided(answer: Column) -> Column:
+    """The decision in a model's answer about a seam: its JSON field, else the first of the known words, else independent."""
+    known = "merge_table|continue_section|independent"
+    own = F.lower(F.coalesce(F.get_json_object(answer, "$.decision"), answer))
+    word = F.regexp_extract(own, known, 0)
+    return F.when(word == "", "independent").otherwise(word)
+
+
+def arbitrated(edges: DataFrame, answers: DataFrame) -> DataFrame:
+    """risks (source, ord, ...) with the decisions of answers (source, ord, answer): resolved where there is one; how, by what."""
+    x = edges.join(answers.select("source", "ord", decided(F.col("answer")).alias("decision")), ["source", "ord"], "left")
+    return x.withColumn("resolved", F.col("decision").isNotNull()).withColumn("resolution", F.when(F.col("decision").isin("merge_table", "continue_section"), "llm_decision").otherwise("unresolved"))
+
+
 def similar_candidates(blocks: DataFrame) -> DataFrame:
     """Adjacent blocks of different chunks whose lengths allow a ratio above SIMILAR (2 * shorter / both)."""
     w = Window.partitionBy("source").orderBy("ord")

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import ordered_join
 
 
+#: Names that one question may want.
+MOST_NAMES = 1000
+
+
 def section_lines(blocks: DataFrame) -> DataFrame:
     """blocks with sec: line number of each block in its section."""
     w = Window.partitionBy("source", "sec").orderBy("ord")
@@ -49,8 +53,11 @@ def loaded(wanted: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def fuzzy(wanted: DataFrame, files: DataFrame) -> DataFrame:
-    """Pairs where one name contains the other. wanted comes from one question: a few names, so it is the broadcast side."""
-    few = F.broadcast(wanted.limit(1000))
+    """Pairs where one name contains the other. wanted comes from one question: MOST_NAMES names at most, so it is the broadcast side."""
+    n = wanted.count()
+    if n > MOST_NAMES:
+        raise ValueError(f"{n} names are wanted; a question has {MOST_NAMES} at most")
+    few = F.broadcast(wanted)
     stem = lambda c: F.regexp_replace(F.lower(c), "\\.md$", "")
     return files.join(few, F.contains(stem(files["filename"]), stem(few["wanted"])) | F.contains(stem(few["wanted"]), stem(files["filename"])))
 

@@ -26,6 +26,24 @@ def toc_levels(headings: DataFrame, toc: DataFrame) -> DataFrame:
     return x.withColumn("level_out", F.coalesce("toc_level", "level")).drop("t", "toc_level")
 
 
+def levelled(blocks: DataFrame, toc: DataFrame | None = None) -> DataFrame:
+    """blocks with heading_level filled: the table of contents' (source, title, level) for its titles, else the block's own; levels of
+    a document without a table of contents are numbered 1, 2, ... in order if there are two or more, and none counts as 2."""
+    x = blocks.withColumn("__t", F.when(F.col("block_type") == "heading", normal_title(F.col("content"))))
+    if toc is not None:
+        known = toc.select("source", normal_title(F.col("title")).alias("__t"), F.col("level").cast("bigint").alias("__l")).groupBy("source", "__t").agg(F.max("__l").alias("__toc"))
+        x = x.join(known, ["source", "__t"], "left").join(toc.select("source").distinct().withColumn("__has", F.lit(True)), "source", "left")
+    else:
+        x = x.withColumn("__toc", F.lit(None).cast("bigint")).withColumn("__has", F.lit(None).cast("boolean"))
+    own = F.when(F.coalesce("heading_level", F.lit(0)) == 0, 2).otherwise(F.col("heading_level")).cast("bigint")
+    x = x.withColumn("__l", F.when(F.col("__t").isNotNull(), F.coalesce("__toc", own)))
+    w = Window.partitionBy("source")
+    seen = x.where("__l is not null and __has is null").select("source", "__l").distinct()  # a few rows a document
+    ranks = seen.withColumn("__r", F.dense_rank().over(w.orderBy("__l")).cast("bigint")).withColumn("__k", F.count("*").over(w)).where("__k > 1").drop("__k")
+    x = x.join(ranks, ["source", "__l"], "left").withColumn("heading_level", F.coalesce("__r", "__l"))
+    return x.select(*blocks.columns)
+
+
 def compact_levels(headings: DataFrame) -> DataFrame:
     """Levels of a document numbered 1, 2, ... in order, if it has two or more; none counts as 2."""
     w = Window.partitionBy("source")
@@ -42,10 +60,12 @@ def clamped(headings: DataFrame, key: list[str]) -> DataFrame:
 
 
 def markdown(blocks: DataFrame) -> DataFrame:
-    """md of each block: headings by level, decorations in italics unless repeated, null where nothing is shown."""
+    """md of each block: headings by level, tables whose content is rows as pipes (else as it is), list items behind two blanks for
+    each level of indent (if there is such a column), decorations in italics unless repeated, null where nothing is shown."""
     t, c = F.col("block_type"), F.col("content")
     hashes = F.repeat(F.lit("#"), F.col("level").cast("int"))
-    md = F.when(t == "heading", F.concat(hashes, F.lit(" "), c)).when(t.isin(*BARE), F.when(~F.col("is_repeated"), F.concat(F.lit("*"), c, F.lit("*")))).when(t == "list_item", F.concat(F.lit("- "), c)).when(t == "figure", F.concat(F.lit("> **[Figure]** "), c)).when(t == "code", F.concat(F.lit("```\n"), c, F.lit("\n```"))).when(t == "unlocated", F.lit(None)).otherwise(c)
+    inset = F.repeat(F.lit("  "), F.coalesce("indent", F.lit(0)).cast("int")) if "indent" in blocks.columns else F.lit("")
+    md = F.when(t == "heading", F.concat(hashes, F.lit(" "), c)).when(t.isin(*BARE), F.when(~F.col("is_repeated"), F.concat(F.lit("*"), c, F.lit("*")))).when(t == "list_item", F.concat(inset, F.lit("- "), c)).when(t == "table", F.coalesce(gfm(table_rows(c)), c)).when(t == "figure", F.concat(F.lit("> **[Figure]** "), c)).when(t == "code", F.concat(F.lit("```\n"), c, F.lit("\n```"))).when(t == "unlocated", F.lit(None)).otherwise(c)
     return blocks.withColumn("md", md)
 
 
@@ -60,6 +80,14 @@ def document_text(rendered: DataFrame) -> DataFrame:
     return x.groupBy("source").agg(ordered_join("ord", "piece", "\n\n").alias("md"))
 
 
+def table_rows(x: Column) -> Column:
+    """The rows of a table's content: JSON first, else a literal in single quotes with None, True and False, else null."""
+    kind = "array<array<string>>"
+    literal = F.regexp_replace(F.regexp_replace(x, "(?<=[\\[,] {0,4})None(?= {0,4}[,\\]])", "null"), "(?<=[\\[,] {0,4})(True|False)(?= {0,4}[,\\]])", '"$1"')
+    whole = lambda rows: F.when(F.size(rows) > 0, F.when(F.forall(rows, lambda r: r.isNotNull()), rows))
+    return F.when(x.rlike(r"(?s)^\s*\[.*\]\s*$"), F.coalesce(whole(F.from_json(x, kind, {"allowSingleQuotes": "false"})), whole(F.from_json(literal, kind))))
+
+
 def gfm(rows: Column) -> Column:
     """A table (array of rows of strings, the first the header) in Markdown."""
     line = lambda r: F.concat(F.lit("| "), F.array_join(F.transform(r, lambda c: F.trim(F.coalesce(c, F.lit("None")))), " | "), F.lit(" |"))
@@ -110,7 +138,7 @@ def named(secs: DataFrame) -> DataFrame:
     parent = slug(F.element_at(F.split("parent_path", " > "), -1))
     stem = F.when(F.col("parent_path") != "", F.concat(parent, F.lit("__"), leaf)).otherwise(leaf)
     label = F.when(F.col("page_start") == F.col("page_end"), F.concat(F.lit("p"), F.col("page_start"))).otherwise(F.concat(F.lit("p"), F.col("page_start"), F.lit("–"), F.col("page_end")))
-    return secs.withColumn("filename", F.concat(F.lpad(F.col("sec").cast("string"), 3, "0"), F.lit("_"), F.substring(stem, 1, 113), F.lit(".md"))).withColumn("pages", label)
+    return secs.withColumn("filename", F.concat(F.format_string("%03d", "sec"), F.lit("_"), F.substring(stem, 1, 113), F.lit(".md"))).withColumn("pages", label)
 
 
 def context_ids(secs: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ pa AS (SELECT p.* EXCLUDE (s1, s2), concat_ws(' > ', CASE WHEN p.level > 1 THEN
  FROM pa0 p LEFT JOIN se x ON x.source = p.source AND x.sec = p.s1 LEFT JOIN se y ON y.source = p.source AND y.sec = p.s2)"""
 _SLUG = "trim(left(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '_', 'g'), '_'), 40), '_')"
 NM = SE + f""", nm0 AS (SELECT *, CASE WHEN parent_path <> '' THEN {_SLUG.format("string_split(parent_path, ' > ')[-1]")} || '__' || {_SLUG.format("title")} ELSE {_SLUG.format("title")} END AS stem FROM pa),
-nm AS (SELECT * EXCLUDE (stem), lpad(CAST(sec AS VARCHAR), 3, '0') || '_' || left(stem, 113) || '.md' AS filename, CASE WHEN page_start = page_end THEN 'p' || page_start ELSE 'p' || page_start || '–' || page_end END AS pages FROM nm0)"""
+nm AS (SELECT * EXCLUDE (stem), printf('%03d', sec) || '_' || left(stem, 113) || '.md' AS filename, CASE WHEN page_start = page_end THEN 'p' || page_start ELSE 'p' || page_start || '–' || page_end END AS pages FROM nm0)"""
 _EFF = "min(heading_level - rn) OVER (PARTITION BY source, sec ORDER BY ord ROWS UNBOUNDED PRECEDING) + rn"
 MD = CU + f""", hl AS (SELECT source, ord, {_EFF} AS level FROM (SELECT *, row_number() OVER (PARTITION BY source, sec ORDER BY ord) AS rn FROM cu WHERE block_type = 'heading')),
 md AS (SELECT c.*, h.level, CASE block_type WHEN 'heading' THEN repeat('#', CAST(h.level AS INTEGER)) || ' ' || content WHEN 'paragraph' THEN content ELSE CASE WHEN NOT is_repeated THEN '*' || content || '*' END END AS md FROM cu c LEFT JOIN hl h USING (source, ord))"""
@@ -202,13 +202,24 @@ def rec17_sides(spark, sf_dir):
     return reconcile.sides(_sorted(spark, sf_dir))
 
 
-@query()
+@query(RP + """, mv AS (SELECT *, CASE WHEN block_type = 'heading' AND lead(chunk) OVER w <> chunk AND lead(block_type) OVER w = 'paragraph' AND NOT lead(is_continuation) OVER w THEN lead(chunk) OVER w ELSE chunk END AS nc
+FROM rp WINDOW w AS (PARTITION BY source ORDER BY ord))
+SELECT source, ord, block_type, nc AS chunk, is_repeated, CAST(NULL AS BIGINT) AS continued_from, coalesce(lead(nc) OVER v <> nc AND (is_truncated OR lead(is_continuation) OVER v), false) AS risk FROM mv WINDOW v AS (PARTITION BY source ORDER BY ord)""")
 def rec18_full(spark, sf_dir):
-    """The full composition: seams, orphaned headings, links of near duplicates and risks counted by document."""
-    s = reconcile.orphaned_headings(_seams(spark, sf_dir)).drop("chunk").withColumnRenamed("new_chunk", "chunk")
-    r = reconcile.risks(s).groupBy("source").agg(F.count("*").alias("risks"))
-    d = reconcile.similar(s).groupBy("source").agg(F.count("*").alias("similar"))
-    return s.groupBy("source").agg(F.count("*").alias("blocks"), F.count_if("is_repeated").alias("repeated")).join(r, "source", "left").join(d, "source", "left").na.fill(0)
+    """The whole composition; this bed has no list items, so none is continued (tests have them)."""
+    return reconcile.full(tables.blocks(spark, sf_dir)).select("source", "ord", "block_type", "chunk", "is_repeated", "continued_from", "risk")
+
+
+@query(SO + """, n AS (SELECT source, ord, chunk, is_truncated, content, lead(chunk) OVER w AS nc, lead(is_continuation) OVER w AS nx FROM so WINDOW w AS (PARTITION BY source ORDER BY ord)),
+r AS (SELECT source, ord, length(content) % 4 AS k FROM n WHERE chunk <> nc AND (is_truncated OR nx))
+SELECT source, ord, CASE k WHEN 0 THEN 'merge_table' WHEN 1 THEN 'continue_section' WHEN 2 THEN 'independent' END AS decision, k < 3 AS resolved, CASE WHEN k < 2 THEN 'llm_decision' ELSE 'unresolved' END AS resolution FROM r""")
+def rec17_decisions(spark, sf_dir):
+    """Answers of four kinds, made from the length of the content before the seam: JSON, a sentence, neither, none."""
+    b = _sorted(spark, sf_dir)
+    k = F.char_length("content") % 4
+    said = F.when(k == 0, '{"decision": "merge_table", "why": "independent"}').when(k == 1, "I would Continue_Section here").when(k == 2, "cannot say")
+    answers = b.select("source", "ord", said.alias("answer")).where("answer is not null")
+    return reconcile.arbitrated(reconcile.risks(b), answers).select("source", "ord", "decision", "resolved", "resolution")
 
 
 @query(RP + " SELECT source, ord, block_type, is_repeated, length(content) AS n FROM rp")
@@ -258,6 +269,27 @@ def rnd02_markdown(spark, sf_dir):
     return _rendered(spark, sf_dir).select("source", "ord", "md")
 
 
+@query(BL + """ SELECT source, seq, CASE (page + ln) % 5 WHEN 0 THEN '| len | ln |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || length(content) || ' | ' || CASE WHEN page % 2 = 0 THEN CAST(ln AS VARCHAR) ELSE 'None' END || ' |'
+WHEN 1 THEN repeat('  ', ln % 3) || '- ' || content WHEN 2 THEN '```' || chr(10) || content || chr(10) || '```' WHEN 3 THEN '> **[Figure]** ' || content ELSE content END AS md FROM bl""")
+def rnd02_kinds(spark, sf_dir):
+    """Tables (JSON rows on even pages, literals with None on odd ones), indented list items, code and figures in place of the bed's blocks."""
+    k = (F.col("page") + F.col("ln")) % 5
+    n = F.char_length("content").cast("string")
+    even = F.concat(F.lit('[["len", "ln"], ["'), n, F.lit('", '), F.col("ln").cast("string"), F.lit("]]"))
+    table = F.when(F.col("page") % 2 == 0, even).otherwise(F.concat(F.lit("[['len', 'ln'], ['"), n, F.lit("', None]]")))
+    kind = F.when(k == 0, "table").when(k == 1, "list_item").when(k == 2, "code").when(k == 3, "figure").otherwise("paragraph")
+    x = tables.blocks(spark, sf_dir).withColumn("content", F.when(k == 0, table).otherwise(F.col("content"))).withColumn("block_type", kind)
+    x = x.withColumn("indent", F.col("ln") % 3).withColumn("level", F.lit(1)).withColumn("is_repeated", F.lit(False))
+    return sections.markdown(x).select("source", "seq", "md")
+
+
+@query("SELECT CAST(o_orderkey AS BIGINT) AS sec, printf('%03d', o_orderkey) || '_t.md' AS filename FROM orders")
+def sec04_many(spark, sf_dir):
+    """File names of sections far beyond 999: orders as sections."""
+    s = tables.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("sec"), F.lit("T").alias("title"), F.lit("").alias("parent_path"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end"))
+    return sections.named(s).select("sec", "filename")
+
+
 @query(RP + " SELECT source, ord, COALESCE(lag(page) OVER (PARTITION BY source ORDER BY ord) <> page, false) AS breaks FROM rp")
 def rnd03_breaks(spark, sf_dir):
     return sections.page_breaks(_seams(spark, sf_dir)).select("source", "ord", "breaks")

@@ -153,3 +153,16 @@ def test_windows_share_one_exchange(spark):
     b = spark.createDataFrame(rows, "source string, page bigint, block_type string, content string, seq bigint").repartition(3)
     plan = reconcile.drop_adjacent_duplicates(reconcile.canonical(b))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(source") == 1
+
+
+def test_full_composition_links_lists_and_moves_headings(spark):
+    rows = [("a", 1, "paragraph", "one", 0, 0, False, False), ("a", 1, "paragraph", "one", 0, 1, False, False), ("a", 2, "heading", "Head", 0, 2, False, False), ("a", 3, "paragraph", "Text", 1, 3, True, False), ("a", 4, "list_item", "x", 1, 4, True, False), ("a", 5, "list_item", "y", 2, 5, False, True)]
+    b = spark.createDataFrame(rows, "source string, page bigint, block_type string, content string, chunk bigint, seq bigint, is_truncated boolean, is_continuation boolean")
+    got = [(r["content"], r["chunk"], r["continued_from"], r["risk"]) for r in reconcile.full(b).orderBy("ord").collect()]
+    assert got == [("one", 0, None, False), ("Head", 1, None, False), ("Text", 1, None, False), ("x", 1, None, True), ("y", 2, 4, False)]
+
+
+def test_table_rows(spark):
+    own = ['[["a", "b"], [1, null]]', "[['a', 'b'], [None, True]]", "no rows", "[]", None, '["a"]', "[['it is None', 'x']]"]
+    got = [r[0] for r in spark.createDataFrame([(x, i) for i, x in enumerate(own)], "x string, i int").orderBy("i").select(sections.table_rows(F.col("x"))).collect()]
+    assert got == [[["a", "b"], ["1", None]], [["a", "b"], [None, "True"]], None, None, None, None, [["it is None", "x"]]]
