@@ -7,7 +7,9 @@ rules whose own keyword it contains, at all their places. Of overlapping detecti
 equal or crossing ones the rule of the better priority stays. The three base phrases are placed exactly over the whole text, and
 their labels always stay.
 
-Rules come from a grammar: every licence's names in every form of notice. Null counts as empty: no words, no labels, score 0.
+Rules: every licence's names in the forms of notice that suit it, and clauses that stand in the licences' own texts. Null counts as
+empty: no words, no labels, score 0; an empty table gives no rows. Repeated rows, with or without doc_id, are judged alike; rules that
+meet at one place with one priority don't exist, and labels are listed once. Columns besides doc_id and text are left aside.
 """
 
 from __future__ import annotations
@@ -80,20 +82,53 @@ FORMS = [
     ("(?:N) licen[cs]e(?: agreement)?(?: version)?(?: v?[0-9]+(?: [0-9]+)?)?", 0.9),
     ("licen[cs]e (?:type )?(?:N)", 0.85),
 ]
+#: Fixed table of clauses in normalised words that name their licence without its name, by label; each has the confidence 0.96.
+CLAUSES = {
+    "mit": ["permission is hereby granted free of charge to any person obtaining a copy of this software", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"],
+    "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "the software is provided as is and the author disclaims all warranties"],
+    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted", "redistributions of source code must retain the above copyright notice", "redistributions in binary form must reproduce the above copyright notice"],
+    "bsd-3": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse", "neither the name of the organization nor the names of its contributors may be used to endorse"],
+    "bsd-4": ["all advertising materials mentioning features or use of this software must display"],
+    "apache": ["you may not use this file except in compliance with the license", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "licensed to the apache software foundation"],
+    "gpl": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "either version 2 of the license or at your option any later version", "either version 3 of the license or at your option any later version", "you should have received a copy of the gnu general public license"],
+    "lgpl": ["this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", "you should have received a copy of the gnu lesser general public license"],
+    "agpl": ["you should have received a copy of the gnu affero general public license", "under the terms of the gnu affero general public license"],
+    "mpl": ["this source code form is subject to the terms of the mozilla public license"],
+    "epl": ["this program and the accompanying materials are made available under the terms of the eclipse public license"],
+    "zlib": ["this software is provided as is without any express or implied warranty in no event will the authors be held liable", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"],
+    "boost": ["permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"],
+    "artistic": ["the intent of this document is to state the conditions under which a package may be copied"],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "wtfpl": ["everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed"],
+    "ofl": ["this font software is licensed under the sil open font license"],
+    "gfdl": ["permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"],
+    "cc0": ["the person who associated a work with this deed has dedicated the work to the public domain", "to the extent possible under law the author has waived all copyright and related"],
+    "cc": ["this work is licensed under a creative commons"],
+    "proprietary": ["unauthorized copying of this file via any medium is strictly prohibited", "all rights reserved no part of this publication may be reproduced", "proprietary and confidential"],
+}
+#: Forms by place in the table above that suit few licences: those of works given to the public.
+GIVEN_AWAY, GIVES = ("public-domain", "cc0", "unlicense"), 4
 #: What each form must contain, in the same order; a text or window without any of these meets no rule.
 NEEDED = ["spdx license identifier", "licen[cs]ed under", "under", "subject to|covered by|governed by", "(?:dedicated|placed|released) (?:to|in|into) the", "licen[cs]e", "licen[cs]e"]
-GATE = f"(?<![^ ])(?:{'|'.join(dict.fromkeys(NEEDED))})(?![^ ])"
+_CLAUSES = [c for own in CLAUSES.values() for c in own]
+#: A clause passes by its first two words.
+OPENS = list(dict.fromkeys(" ".join(c.split()[:2]) for c in _CLAUSES))
+GATE = f"(?<![^ ])(?:{'|'.join(dict.fromkeys([*NEEDED, *OPENS]))})(?![^ ])"
 ANY = f"(?i){GATE}"
-#: Hits on either side, by place, that a hit is compared with: more than can overlap it, as a match has at most 17 words and at most four rules match from one on.
-NEAR = 100
+#: Hits on either side, by place, that a hit is compared with: more than can overlap it, as a match has at most 31 words and at most four rules match from one on.
+NEAR = 130
 
 
 def rules() -> list[dict]:
     out = []
     for label, keyword, name, spdx in FAMILIES:
-        for form, sure in FORMS:
+        for k, (form, sure) in enumerate(FORMS):
+            if k == GIVES and label not in GIVEN_AWAY:
+                continue
             body = form.replace("N", name) if "S)" not in form else form.replace("(?:S)", f"(?:{spdx})")
             out.append({"kw": keyword if "spdx" not in form else "spdx", "re": f"(?<![^ ]){body}(?![^ ])", "label": label, "sure": sure})
+    for label, own in CLAUSES.items():
+        out += [{"kw": c, "re": f"(?<![^ ]){c}(?![^ ])", "label": label, "sure": 0.96} for c in own]
     return [r | {"pri": i} for i, r in enumerate(out)]
 
 
@@ -103,7 +138,8 @@ def _window() -> str:
     for x in [f for f, _ in FORMS] + [y for _, _, name, spdx in FAMILIES for y in (name, spdx)]:
         own |= {w for w in re.sub(r"\(\?:|\)\??|\|", " ", x).split() if re.match("[a-z0-9]", w) and w not in ("N", "S")}
     word = f"(?:(?:{'|'.join(sorted(own, key=lambda w: (-len(w), w)))}|(?:gpl)?v?[0-9]+)(?![^ ])|[a-z]++(?= (?:under|you want to public)(?![^ ])))"
-    return f"(?<![^ ]){word}(?: {word})*+"
+    one = f"(?:(?:{'|'.join(sorted(_CLAUSES, key=lambda c: (-len(c), c)))})(?![^ ])|{word})"
+    return f"(?<![^ ]){one}(?: {one})*+"
 
 
 WINDOW = _window()
