@@ -6,21 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def placed(text: Column, matches: Column, pattern: str) -> Column:
-    """Start, end (code points) and text of each of matches = regexp_extract_all(text, pattern, 0).
+#: Matches that one fold takes; what it has gathered is copied with each of them.
+CHUNK = 128
 
-    The parts between the matches, from split(), give the places."""
-    parts = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
-    both = F.zip_with(matches, parts, lambda m, p: F.struct(F.char_length(p).alias("skip"), m.alias("t")))
-    kind = "array<struct<s:int,e:int,t:string>>"
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+def placed(text: Column, matches: Column, pattern: str, near: int = 0) -> Column:
+    """Start, end (code points) and text of each of matches = regexp_extract_all(text, pattern, 0), with up to `near` characters of what
+    stands between it and its neighbours (l, r).
+
+    The parts between the matches, from split(), give the places, so the text itself isn't scanned again for any match. Places are
+    cumulated in chunks and over chunks, so the time is linear for any number of matches that a text of Spark can hold."""
+    parts = F.split(text, pattern, -1)
+    n = F.size(matches)
+    ahead = F.zip_with(matches, F.slice(parts, 1, n), lambda m, p: F.struct(m.alias("t"), F.char_length(p).alias("skip"), F.right(p, F.lit(near)).alias("l")))
+    both = F.zip_with(ahead, F.slice(parts, 2, n), lambda x, p: F.struct(x["t"].alias("t"), x["skip"].alias("skip"), x["l"].alias("l"), F.left(p, F.lit(near)).alias("r")))
+    kind = "array<struct<s:int,e:int,t:string,l:string,r:string>>"
+    raw = "array<struct<t:string,skip:int,l:string,r:string>>"
 
     def step(acc, x):
         s = acc["at"] + x["skip"]
         e = s + F.char_length(x["t"])
-        return F.struct(e.alias("at"), F.array_append(acc["out"], F.struct(s.alias("s"), e.alias("e"), x["t"].alias("t"))).alias("out"))
+        return F.struct(e.alias("at"), F.array_append(acc["out"], F.struct(s.alias("s"), e.alias("e"), x["t"].alias("t"), x["l"].alias("l"), x["r"].alias("r"))).alias("out"))
+
+    def whole(xs):
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int")), lambda k: F.slice(xs, k * CHUNK + 1, F.lit(CHUNK)))
+        total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["skip"] + F.char_length(x["t"]))
+        none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<at:int,c:{raw}>>").alias("out"))
+        based = F.aggregate(chunks, none, lambda a, c: F.struct((a["at"] + total(c)).alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("at"), c.alias("c"))).alias("out")), lambda a: a["out"])
+        return F.flatten(F.transform(based, lambda z: F.aggregate(z["c"], F.struct(z["at"].alias("at"), F.array().cast(kind).alias("out")), step, lambda a: a["out"])))
 
-    return F.when(F.size(matches) == 0, F.array().cast(kind)).otherwise(F.aggregate(both, begin, step, lambda acc: acc["out"]))
+    return F.when(n == 0, F.array().cast(kind)).otherwise(F.transform(F.array(both), whole)[0])
 
 
 def digits(x: Column) -> Column:

@@ -64,6 +64,70 @@ def test_pii(docs, empty):
     assert pii.digest(pii.scan(empty)).collect() == []
 
 
+def test_added_personal_data_against_a_plain_version(spark):
+    """Votes, added spans and their scores against a version in plain Python; planted persons, numbers and addresses are found."""
+    import math
+    import re
+
+    r = random.Random(8)
+    some = lambda n: " ".join(x for x in r.choices(WORDS, k=n))
+    own, planted = [], []
+    for k in range(300):
+        t = some(15)
+        kind = k % 6
+        if kind == 0:
+            t += f" contact {r.choice(pii.GIVEN)} {r.choice(pii.FAMILY)} for mail. "
+            planted.append((k, "person"))
+        elif kind == 1:
+            t += f" please call (830) {r.randint(200, 999)}-{r.randint(1000, 9999)} now. "
+            planted.append((k, "local"))
+        elif kind == 2:
+            t += f" account of {r.choice(pii.FAMILY)}: ssn 1{r.randint(10, 99)}-45-{r.randint(1000, 9999)}. "
+            planted.append((k, "ssn"))
+        elif kind == 3:
+            t += f" order 830-{r.randint(200, 999)}-{r.randint(1000, 9999)}-x version. "
+        elif kind == 4:
+            t += f" a.b{k}@mail.example.com and +1 830 555 {r.randint(1000, 9999)} "
+        own.append((k, t + some(8)))
+    found = []
+    for k, t in own:
+        for kind, p in pii.PATTERNS.items():
+            if kind in ("email", "card"):
+                continue
+            p = p.replace(r"\p{L}", "A-Za-zÀ-ÿ").replace(r"\p{Lu}", "[A-ZÀ-Þ]").replace(r"\p{Ll}", "[a-zß-ÿ]")
+            ms = list(re.finditer(p, t))
+            for j, m in enumerate(ms):
+                left = t[(ms[j - 1].end() if j else 0) : m.start()][-pii.NEAR :]
+                right = t[m.end() : ms[j + 1].start() if j + 1 < len(ms) else None][: pii.NEAR]
+                d = re.sub("[^0-9]", "", m[0])
+                family = any(m[0].endswith(" " + x) for x in pii.FAMILY)
+                shape = {"ip": 1, "phone": 1 if 10 <= len(d) <= 15 else -1, "local": -1 if d[:1] in ("0", "1") else 1, "ssn": -1 if re.match("000|666|9", d) else 1, "iban": 1, "person": int(family)}.get(kind, 0)
+                near = f"{left}\n{right}"
+                known = re.search(r"(?<![A-Za-zÀ-ÿ])(?:" + "|".join([*pii.GIVEN, *pii.FAMILY, *pii.PLACES]) + r")(?![A-Za-zÀ-ÿ])", near + "\n" + ("" if kind == "person" else m[0])) or (kind == "person" and family)
+                words = -1 if re.search(pii.AGAINST, near.lower()) else int(bool(re.search(pii.TELLING, near.lower())))
+                before, after = left[-1:], right[:1]
+                found.append((k, kind, m.start(), m.end(), {"shape": shape, "words": words, "known": int(bool(known)), "left": -1 if re.match("[A-Za-z0-9_=\"'/-]", before) else 1, "right": -1 if re.match("[A-Za-z0-9_]", after) else 1 if not after or re.match("[\\s.,;:!?)]", after) else 0}, min((m.end() - m.start()) // 8, 4)))
+    d = spark.createDataFrame(own, "doc_id bigint, text string")
+    each = d.select("doc_id", F.explode(pii.candidates(F.col("text"))).alias("x")).select("doc_id", "x.*")
+    votes = {(x["doc_id"], x["kind"], x["s"], x["e"]): (tuple(x[v] for v in pii.LABELERS), x["size"]) for x in each.collect() if x["kind"] not in ("email", "card")}
+    assert votes == {(k, kind, s, e): (tuple(v[x] for x in pii.LABELERS), size) for k, kind, s, e, v, size in found}
+    w = pii.fit(pii.grouped(each))
+    score = {key: 1 / (1 + math.exp(-(w[""] + w["kind", key[1]] + w["size", size] + sum(w[n, x] for n, x in zip(pii.LABELERS, v))))) for key, (v, size) in votes.items()}
+    got = {i: set(filter(None, x["spans"].split(","))) for i, x in rows(pii.digest(pii.scan(d))).items()}
+    base = {k: [(s, e) for _, s, e in brute.pii(t)] for k, t in own}
+    want = {(k, f"{kind}:{s}:{e}") for (k, kind, s, e), p in score.items() if kind not in pii.BASE and votes[k, kind, s, e][0][0] >= 0 and p >= 0.5 and not any(a < e and s < z for a, z in base[k])}
+    assert {(k, x) for k, xs in got.items() for x in xs if x.split(":")[0] not in pii.BASE} == want
+    assert sum(any(x.startswith(kind) for x in got[k]) for k, kind in planted) / len(planted) >= 0.9
+    assert not any(x.startswith(("local", "person")) for k, _ in own if k % 6 == 5 for x in got[k])
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 1000])
+def test_places_of_many_matches(spark, n):
+    own = [(k, " ".join(f"a{'b' * (j % 5)}{j}@x{k}.org" + "é" * (j % 3) for j in range(n))) for k in range(2)] + [(7, None), (8, "")]
+    got = rows(pii.digest(pii.scan(spark.createDataFrame(own, "doc_id bigint, text string"))))
+    assert all(got[k]["base_sha256"] == brute.sha(brute.told(brute.pii(t))) for k, t in own)
+
+
 def test_reliabilities_follow_the_majority():
     counts = [((1, 1, 1, 1), 60), ((1, 0, 1, 1), 30), ((-1, -1, -1, -1), 80), ((-1, 0, -1, 1), 20), ((1, -1, 1, 1), 5)]
     like = pii.reliabilities(counts)
@@ -100,6 +164,17 @@ def test_license_notices_lie_whole_in_windows(spark):
     assert [got[i]["labels"] for i in range(len(own))] == list(own.values())
 
 
+def test_license_clauses(spark):
+    """Every clause is found in a text of nothing else, with its label; a clause suppresses what stands inside it."""
+    own = [(label, c) for label, cs in licenses.CLAUSES.items() for c in cs]
+    d = spark.createDataFrame([(i, f"Some words before, {c.upper()}: and behind.", "x") for i, (_, c) in enumerate(own)], "doc_id bigint, text string, labels string")
+    got = rows(licenses.scan(d))
+    assert all(label in got[i]["labels"].split(",") and got[i]["score"] >= 0.9 for i, (label, _) in enumerate(own))
+    i = own.index(("cc", "this work is licensed under a creative commons"))
+    assert got[i]["labels"] == "cc"
+    assert {r["doc_id"] for r in licenses.scan(d.select(F.lit(None).cast("bigint").alias("doc_id"), "text")).collect()} == {None}
+
+
 def test_license_gate_lets_every_form_through(spark):
     own = {
         "Released under the Boost Software terms": "boost",
