@@ -16,10 +16,11 @@ def placed(text: Column, matches: Column, pattern: str, near: int = 0) -> Column
 
     The parts between the matches, from split(), give the places, so the text itself isn't scanned again for any match. Places are
     cumulated in chunks and over chunks, so the time is linear for any number of matches that a text of Spark can hold."""
-    parts = F.split(text, pattern, -1)
-    n = F.size(matches)
-    ahead = F.zip_with(matches, F.slice(parts, 1, n), lambda m, p: F.struct(m.alias("t"), F.char_length(p).alias("skip"), F.right(p, F.lit(near)).alias("l")))
-    both = F.zip_with(ahead, F.slice(parts, 2, n), lambda x, p: F.struct(x["t"].alias("t"), x["skip"].alias("skip"), x["l"].alias("l"), F.left(p, F.lit(near)).alias("r")))
+    def both(z):
+        n = F.size(z["m"])
+        ahead = F.zip_with(z["m"], F.slice(z["p"], 1, n), lambda m, p: F.struct(m.alias("t"), F.char_length(p).alias("skip"), F.right(p, F.lit(near)).alias("l")))
+        return F.zip_with(ahead, F.slice(z["p"], 2, n), lambda x, p: F.struct(x["t"].alias("t"), x["skip"].alias("skip"), x["l"].alias("l"), F.left(p, F.lit(near)).alias("r")))
+
     kind = "array<struct<s:int,e:int,t:string,l:string,r:string>>"
     raw = "array<struct<t:string,skip:int,l:string,r:string>>"
 
@@ -35,7 +36,9 @@ def placed(text: Column, matches: Column, pattern: str, near: int = 0) -> Column
         based = F.aggregate(chunks, none, lambda a, c: F.struct((a["at"] + total(c)).alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("at"), c.alias("c"))).alias("out")), lambda a: a["out"])
         return F.flatten(F.transform(based, lambda z: F.aggregate(z["c"], F.struct(z["at"].alias("at"), F.array().cast(kind).alias("out")), step, lambda a: a["out"])))
 
-    return F.when(n == 0, F.array().cast(kind)).otherwise(F.transform(F.array(both), whole)[0])
+    # each expression stands once, so each is evaluated once
+    found = F.transform(F.array(matches), lambda m: F.when(F.size(m) > 0, F.struct(m.alias("m"), F.split(text, pattern, -1).alias("p"))))
+    return F.coalesce(F.transform(found, lambda z: F.when(z.isNotNull(), F.transform(F.array(both(z)), whole)[0]))[0], F.array().cast(kind))
 
 
 def digits(x: Column) -> Column:

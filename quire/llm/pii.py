@@ -37,6 +37,17 @@ GIVEN = "James John Robert Michael William David Richard Joseph Thomas Charles D
 FAMILY = "Smith Johnson Williams Brown Jones Garcia Miller Davis Rodriguez Martinez Hernandez Lopez Gonzalez Wilson Anderson Thomas Taylor Moore Jackson Martin Lee Thompson White Harris Clark Lewis Robinson Walker Young Allen King Wright Scott Hill Green Adams Nelson Baker Hall Campbell Müller Schmidt Schneider Fischer Weber Meyer Wagner Becker Schulz Hoffmann Koch Bauer Richter Klein Bernard Dubois Durand Moreau Laurent Simon Michel Lefebvre Leroy Roux Fernandez Sanchez Perez Gomez Ruiz Diaz Moreno Rossi Russo Ferrari Bianchi Wang Li Zhang Chen Kumar Singh Khan Ali Tanaka Suzuki Kim Nguyen".split()
 PLACES = "London Paris Berlin Madrid Rome Vienna Zurich Munich Hamburg Cologne Frankfurt Lyon Marseille Toulouse Barcelona Valencia Seville Milan Amsterdam Brussels Dublin Manchester Boston Chicago Houston Phoenix Philadelphia Dallas Austin Seattle Denver Portland Atlanta Miami Toronto Sydney Melbourne Tokyo Beijing Moscow".split()
 STREETS = "Street St Road Rd Avenue Ave Lane Ln Drive Dr Boulevard Blvd Court Square Way Place Terrace".split()
+
+
+def _any_of(names) -> str:
+    """An expression for any of some capitalised names: one look at the first letter passes over most places of a text."""
+    by: dict[str, list[str]] = {}
+    for x in dict.fromkeys(names):
+        by.setdefault(x[0], []).append(x[1:])
+    return f"(?=[{''.join(sorted(by))}])(?:{'|'.join(f'{c}(?:{chr(124).join(own)})' for c, own in sorted(by.items()))})"
+
+
+_GIVEN = _any_of(GIVEN)
 #: Possessive forms of the base expressions; they match the same places without backtracking. A chain of digits is taken
 #: from its first digit on, so a card's expression only stops at chains of 14 to 19 digits.
 PATTERNS = {
@@ -49,14 +60,14 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "mac": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){5}(?![0-9A-Fa-f:])",
-    "person": rf"(?<![\p{{L}}])(?:{'|'.join(GIVEN)}) \p{{Lu}}\p{{Ll}}{{1,20}}+(?![\p{{L}}])",
+    "person": rf"(?=\p{{Lu}})(?<![\p{{L}}]){_GIVEN} \p{{Lu}}\p{{Ll}}{{1,20}}+(?![\p{{L}}])",
     "address": rf"(?<![0-9A-Za-z])[0-9]{{1,5}} (?:[A-Z][a-z]{{1,20}}+ ){{1,3}}(?:{'|'.join(STREETS)})(?![A-Za-z])",
     "name": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra)\.? [A-Z][a-z]{2,20}(?: [A-Z][a-z]{2,20})?(?![A-Za-z])",
 }
 KINDS = tuple(PATTERNS)
 #: Any text without one of these characters in these places has no candidate of the kind.
-GATES = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][0-9 -]{12}", "phone": "\\+[0-9]", "masked": "[\\[(](?:at|AT)[\\])]", "local": "[0-9]{3}[ .-][0-9]{4}", "ssn": "[0-9]-[0-9]{2}-[0-9]", "iban": "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "mac": "[0-9A-Fa-f]:[0-9A-Fa-f]{2}:", "person": f"(?:{'|'.join(GIVEN)}) \\p{{Lu}}\\p{{Ll}}", "address": f" (?:{'|'.join(STREETS)})(?![A-Za-z])", "name": "(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra)\\.? [A-Z]"}
-_KNOWN = f"(?<!\\p{{L}})(?:{'|'.join(dict.fromkeys([*GIVEN, *FAMILY, *PLACES]))})(?!\\p{{L}})"
+GATES = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][0-9 -]{12}", "phone": "\\+[0-9]", "masked": "[\\[(](?:at|AT)[\\])]", "local": "[0-9]{3}[ .-][0-9]{4}", "ssn": "[0-9]-[0-9]{2}-[0-9]", "iban": "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "mac": "[0-9A-Fa-f]:[0-9A-Fa-f]{2}:", "person": f"{_GIVEN} \\p{{Lu}}\\p{{Ll}}", "address": f" (?:{'|'.join(STREETS)})(?![A-Za-z])", "name": "(?=[DFHMPS])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra)\\.? [A-Z]"}
+_KNOWN = f"(?<!\\p{{L}}){_any_of([*GIVEN, *FAMILY, *PLACES])}(?!\\p{{L}})"
 _FAMILY = f" (?:{'|'.join(FAMILY)})$"
 #: Fixed word lists of the gazetteer labeler.
 TELLING = "mail|contact|write to|phone|tel|call|fax|mobile|card|visa|credit|iban|account|ssn|social security|address|name|reach|correo|kontakt|telefon|appel"
@@ -174,6 +185,11 @@ def _score(x: Column, w: dict) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
+def _any_gate(text: Column) -> Column:
+    """Whether a text may have a candidate at all: the cheap question comes first."""
+    return text.rlike("[0-9@]") | text.rlike(GATES["masked"]) | text.rlike(GATES["name"]) | text.rlike(GATES["person"])
+
+
 def grouped(each: DataFrame) -> list:
     """Candidates counted by kind, length class and votes: a bounded number of rows."""
     return sorted(each.groupBy("kind", "size", *LABELERS).agg(F.count("*").alias("n")).collect(), key=str)
@@ -182,7 +198,7 @@ def grouped(each: DataFrame) -> list:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) of each row; a span: s, kind, e, base, score; ordered by start, then by kind as listed."""
     text = own_text("text")
-    found = settle(docs.select(F.col("doc_id").alias("doc_id"), text.alias("text")).select("doc_id", F.when(F.col("text").rlike("[0-9@]|[\\[(](?:at|AT)[\\])]|" + GATES["name"] + "|" + GATES["person"]), candidates(F.col("text"))).alias("found")))
+    found = settle(docs.select(F.col("doc_id").alias("doc_id"), text.alias("text")).select("doc_id", F.when(_any_gate(F.col("text")), candidates(F.col("text"))).alias("found")))
     each = found.where(F.size("found") > 0).select(F.explode("found").alias("x")).select("x.*")
     w = fit(grouped(each))
     rank = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(i)) for i, k in enumerate(KINDS)))

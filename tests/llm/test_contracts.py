@@ -94,7 +94,7 @@ def test_added_personal_data_against_a_plain_version(spark):
         for kind, p in pii.PATTERNS.items():
             if kind in ("email", "card"):
                 continue
-            p = p.replace(r"\p{L}", "A-Za-zÀ-ÿ").replace(r"\p{Lu}", "[A-ZÀ-Þ]").replace(r"\p{Ll}", "[a-zß-ÿ]")
+            p = p.replace(r"(?=\p{Lu})", "").replace(r"\p{L}", "A-Za-zÀ-ÿ").replace(r"\p{Lu}", "[A-ZÀ-Þ]").replace(r"\p{Ll}", "[a-zß-ÿ]")
             ms = list(re.finditer(p, t))
             for j, m in enumerate(ms):
                 left = t[(ms[j - 1].end() if j else 0) : m.start()][-pii.NEAR :]
