@@ -105,7 +105,7 @@ def qry11_list(spark, sf_dir):
 def qry12_bundle(spark, sf_dir):
     """Documents whose parts are all there."""
     n, b = _named(spark, sf_dir).select("source").distinct(), tables.blocks(spark, sf_dir).select("source").distinct()
-    d = tables.table(spark, sf_dir, "documents").select("source").distinct()
+    d = tables.pages(spark, sf_dir).select("source").distinct()
     return d.join(n.withColumn("s", F.lit(True)), "source", "left").join(b.withColumn("b", F.lit(True)), "source", "left").select("source", F.coalesce("s", F.lit(False)).alias("has_sections"), F.coalesce("b", F.lit(False)).alias("has_blocks"))
 
 

@@ -1,7 +1,7 @@
 """Driver tables, and the page, block, table and call views ("beds") that the document operators run on.
 
-Each view exists twice: as a DataFrame here and as SQL text (for the oracles) in BEDS. A source counts as a document,
-its rows in order of doc_id as pages, their lines as blocks.
+Each view exists twice: as a DataFrame here and as SQL text (for the oracles) in BEDS. A source's rows of SPAN successive ids count as
+a document, in order of doc_id as its pages, their lines as blocks.
 """
 
 from __future__ import annotations
@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 from ..functions.columns import strip
 
 
+#: Ids of a source that make one document.
+SPAN = 500
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pages(spark, sf_dir) -> DataFrame:
-    """source, page, doc_id, text, n_chars."""
-    d = table(spark, sf_dir, "documents").select("source", "doc_id", "text", "n_chars")
+    """source, page, doc_id, text, n_chars. A source's next SPAN ids are one document, so that documents grow in number with the
+    table and not in length, and windows by document never hold a share of all rows."""
+    own = F.concat_ws("-", "source", F.expr(f"doc_id div {SPAN}").cast("string")).alias("source")
+    d = table(spark, sf_dir, "documents").select(own, "doc_id", "text", "n_chars")
     return d.withColumn("page", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("bigint"))
 
 
@@ -78,7 +84,7 @@ def calls(spark, sf_dir) -> DataFrame:
 
 #: The same views as DuckDB SQL, each with the views that it needs.
 BEDS = {
-    "bp": "bp AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, doc_id, text, n_chars FROM documents)",
+    "bp": f"bp AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, doc_id, text, n_chars FROM (SELECT source || '-' || CAST(doc_id // {SPAN} AS VARCHAR) AS source, doc_id, text, n_chars FROM documents))",
     "pf": r"""pf AS (SELECT source, page, doc_id, CAST(length(regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '')) AS BIGINT) AS chars,
         CAST(85 + 170 * (1 + n_chars // 512) AS BIGINT) AS tokens, CAST(CASE WHEN doc_id % 5 = 0 THEN 2 ELSE 0 END AS BIGINT) AS tables,
         CAST(CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS images, CAST((doc_id % 10) / 20.0 AS DOUBLE) AS image_area, text FROM bp)""",
