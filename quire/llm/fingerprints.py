@@ -23,6 +23,7 @@ import itertools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,63 +150,88 @@ def bands(fp: tuple[int, np.ndarray]) -> list[int]:
     return out
 
 
-_SCHEMA = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_SCHEMA = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, near_id bigint"
 _NAMES = [x.split()[0] for x in _SCHEMA.split(", ")]
 
 
+_MOVED = "bucket int, kind int, doc_id bigint, near bigint, h bigint, text binary"
+ROW, EDGE, NEAR = 0, 1, -1
+
+
+def _packed(batches):
+    """Texts compressed for the exchange: (bucket, kind, doc_id, near, h, text)."""
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        texts = [squeeze.compress(t.as_buffer()) if t.is_valid and len(t.as_buffer()) else b"" for t in b.column(5)]
+        yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(texts, pa.binary())], b.schema.names)
+
+
 def _walked(batches):
-    """Rows of sorted buckets (bucket, edge, doc_id, text): each row with the next one of its bucket."""
-    carry = None  # bucket, edge, doc_id, text, fingerprint
+    """Rows of sorted buckets: each row with the next one of its bucket, and with the class that a row of kind NEAR before it names."""
+    unpack = zstandard.ZstdDecompressor()
+    carry = None  # bucket, kind, doc_id, near, text, fingerprint
+    near = (None, None)
     for b in batches:
         for at in range(0, b.num_rows, SLICE):
             part = b.slice(at, SLICE)
-            rows = [*zip(*(part.column(c).to_pylist() for c in range(3)))]
-            texts = [t or "" for t in part.column(3).to_pylist()]
-            own = [(*r, t) for r, t in zip(rows, texts)]
+            own = []
+            for bucket, kind, doc, to, raw in zip(*(part.column(c).to_pylist() for c in (0, 1, 2, 3, 5))):
+                if kind == NEAR:
+                    near = (doc, to)
+                else:
+                    own.append((bucket, kind, doc, near[1] if near[0] == doc and doc is not None else doc, unpack.decompress(raw).decode() if raw else ""))
+            if not own:
+                continue
+            texts = [x[4] for x in own]
             if carry is not None:
-                own.insert(0, carry[:4])
+                own.insert(0, carry[:5])
             edited = []
             for x, y in zip(own, own[1:]):
-                h = len(x[3]) // 2
-                edited.append(x[3][: len(x[3]) - h] + y[3][:h] if x[0] == y[0] and not x[1] else "")
+                h = len(x[4]) // 2
+                edited.append(x[4][: len(x[4]) - h] + y[4][:h] if x[0] == y[0] and x[1] == ROW else "")
             got = embed([*texts, *edited])
-            fps = ([carry[4]] if carry is not None else []) + got[: len(texts)]
+            fps = ([carry[5]] if carry is not None else []) + got[: len(texts)]
             more = got[len(texts) :]
             cols: list[list] = [[] for _ in _NAMES]
             for k, (x, y) in enumerate(zip(own, own[1:])):
-                if x[1] or x[0] != y[0]:
+                if x[1] == EDGE or x[0] != y[0]:
                     continue
-                for c, v in zip(cols, (x[2], len(x[3]), hashlib.sha256(edited[k].encode("utf-8", "surrogatepass")).hexdigest(), told(fps[k]), told(more[k]), likeness(fps[k], more[k]), likeness(fps[k], fps[k + 1]))):
+                for c, v in zip(cols, (x[2], len(x[4]), hashlib.sha256(edited[k].encode("utf-8", "surrogatepass")).hexdigest(), told(fps[k]), told(more[k]), likeness(fps[k], more[k]), likeness(fps[k], fps[k + 1]), x[3])):
                     c.append(v)
             carry = (*own[-1], fps[-1])
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], _NAMES)
 
 
-def compared(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each row, of its edited text, and their likenesses (see the module and _SCHEMA).
+def compared(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Fingerprints of each row, of its edited text, and their likenesses (see the module and _SCHEMA); near_id is the row's class in
+    classes (doc_id, near_id: those that differ), else its own doc_id.
 
     Rows are dealt into buckets of doc_id by quantiles and sorted there; the highest row of each bucket is copied behind the
-    lowest of the bucket above it (the highest of all behind the lowest of all), so every row meets its next one. The
-    texts move once."""
+    lowest of the bucket above it (the highest of all behind the lowest of all), so every row meets its next one. A class goes
+    to its row's bucket as a row of its own. The texts move once, compressed."""
     spark = docs.sparkSession
     x = bound(docs, {"doc_id": "bigint", "text": "string"})
     n = 2 * partitions(spark)
     cuts = x.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0]
     cuts = sorted(set(cuts or []))
     low = F.array(*(F.lit(c).cast("bigint") for c in cuts)) if cuts else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(low, lambda c: c < F.col("doc_id"))))
-    x = x.withColumn("bucket", bucket.cast("int")).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(low, lambda c: c < F.col("doc_id")))).cast("int")
+    x = x.withColumn("bucket", bucket).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
     top = F.struct("doc_id", "h")
     heads = x.groupBy("bucket").agg(F.max_by("text", top).alias("text"), F.max(top).alias("m"))
     there = sorted(r["bucket"] for r in heads.select("bucket").collect())  # at most 2 * partitions + 1 numbers
     if not there:
         return spark.createDataFrame([], _SCHEMA)
     to = F.create_map(*(F.lit(v) for b, above in zip(there, [*there[1:], there[0]]) for v in (b, above)))
-    edges = heads.select(to[F.col("bucket")].alias("bucket"), F.lit(True).alias("edge"), F.col("m.doc_id").alias("doc_id"), "text", F.col("m.h").alias("h"))
-    rows = x.select("bucket", F.lit(False).alias("edge"), "doc_id", "text", "h").unionByName(edges)
-    rows = rows.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "edge", F.col("doc_id").desc_nulls_last(), F.col("h").desc())
-    return rows.select("bucket", "edge", "doc_id", "text").mapInArrow(_walked, _SCHEMA)
+    none = F.lit(None).cast("bigint")
+    edges = heads.select(to[F.col("bucket")].alias("bucket"), F.lit(EDGE).alias("kind"), F.col("m.doc_id").alias("doc_id"), none.alias("near"), F.col("m.h").alias("h"), "text")
+    rows = x.select("bucket", F.lit(ROW).alias("kind"), "doc_id", none.alias("near"), "h", "text").unionByName(edges)
+    if classes is not None:
+        rows = rows.unionByName(classes.select(bucket.alias("bucket"), F.lit(NEAR).alias("kind"), "doc_id", F.col("near_id").alias("near"), none.alias("h"), F.lit(None).cast("string").alias("text")))
+    moved = rows.mapInArrow(_packed, _MOVED).repartition(partitions(spark), "bucket")
+    moved = moved.sortWithinPartitions("bucket", F.col("kind") == EDGE, F.col("doc_id").desc_nulls_last(), "kind", F.col("h").desc())
+    return moved.mapInArrow(_walked, _SCHEMA)
 
 
 def _banded(batches):

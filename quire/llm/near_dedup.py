@@ -292,7 +292,12 @@ def near_dedup(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> Da
     if rest.take(1):
         edges = settle(edges.unionByName(confirmed(docs, rest, percent, shingle)))
         comp = components(edges)
-    more = _dense(docs, found.where("dense").select(F.col("a").alias("region"), F.col("b").alias("doc_id")), comp, percent, shingle)
+
+    def full(ids):
+        texts = semi(bound(docs, {"doc_id": "bigint", "text": "string"}), ids, "doc_id")
+        return texts.mapInArrow(lambda it: _sets(it, shingle), "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
+
+    more = dense_links(found.where("dense").select(F.col("a").alias("region"), F.col("b").alias("doc_id")), comp, full, _cell_links(percent))
     # a repeated id with several sets ties these together
     repeated = settle(some.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("m"), F.max(F.struct("hi", "lo")).alias("x")).where("m <> x").select("doc_id"))
     if repeated.take(1):
@@ -336,9 +341,10 @@ def _cell_links(percent):
     return run
 
 
-def _dense(docs, rows, comp, percent, shingle):
-    """Step 4: links between components inside dense regions, or None without such regions. Regions with the same largest component form a group; the rows
-    outside that component meet all rows of the group in cells of bounded size, which count common shingles and give out confirmed links only."""
+def dense_links(rows, comp, full, links):
+    """Step 4: links (a, b) between components inside regions of rows (region, doc_id), or None without such regions. Regions with the same largest component form
+    a group; the rows outside that component meet all rows of the group in cells of bounded size. full(ids) gives what links(odd rows, rows) compares
+    in a cell, by doc_id; only confirmed links come out."""
     if not rows.take(1):
         return None
     rows = settle(spread_join(rows.select("region", "doc_id").distinct(), comp.toDF("doc_id", "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")))
@@ -351,14 +357,12 @@ def _dense(docs, rows, comp, percent, shingle):
     if not count.take(1):
         return None
     ids = own.select("doc_id").distinct()
-    sets = semi(bound(docs, {"doc_id": "bigint", "text": "string"}), settle(ids), "doc_id").mapInArrow(lambda it: _sets(it, shingle), "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"])
-    sets = settle(sets)
+    sets = settle(full(settle(ids)))
     place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n))
     left = spread_join(odd, count, "main").select("main", "doc_id", "root", place("no").alias("o"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nr") - 1)).alias("r")).join(sets, "doc_id")
     right = spread_join(own, count, "main").select("main", "doc_id", "root", place("nr").alias("r"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("no") - 1)).alias("o")).join(sets, "doc_id")
     cell = ["main", "o", "r"]
     both = left.withColumn("odd", F.lit(True)).unionByName(right.withColumn("odd", F.lit(False)))
-    links = _cell_links(percent)
     return both.groupBy(*cell).applyInPandas(lambda x: links(x[x["odd"]], x[~x["odd"]]), "a bigint, b bigint")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, html_text, licenses, near_dedup, oracles, pieces, pii, quality, secrets, url_rules
+from . import decontaminate, fingerprints, html_text, licenses, near_dedup, near_prints, oracles, pieces, pii, quality, secrets, url_rules
 
 
 def _table(spark, sf_dir, name):
@@ -17,7 +17,8 @@ def op1_weak_supervision_pii(spark, sf_dir):
 
 
 def op2_edit_embedding(spark, sf_dir):
-    return fingerprints.compared(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return fingerprints.compared(docs, near_prints.near_classes(docs))
 
 
 def op3_sampled_pieces(spark, sf_dir):

@@ -6,7 +6,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, fingerprints, html_text, licenses, near_dedup, pieces, pii, quality, secrets, url_rules
+from quire.llm import decontaminate, fingerprints, html_text, licenses, near_dedup, near_prints, pieces, pii, quality, secrets, url_rules
 
 RND = random.Random(7)
 WORDS = [RND.choice("bcdfgklmnprst") + RND.choice("aeiouéü") + RND.choice(["n", "r", "st", ""]) for _ in range(400)]
@@ -462,6 +462,78 @@ def test_fingerprints(docs, empty):
     assert fingerprints.compared(empty).collect() == []
 
 
+def classes(own):
+    """(doc_id, smallest doc_id reached) by equal texts and by links of bands and likeness, all pairs tried; and the linked pairs that share no band."""
+    one = {}
+    for i, t in own:
+        if i is not None:
+            one.setdefault(t or "", []).append(i)
+    fps = list(zip(one, fingerprints.embed(list(one))))
+    up = {i: i for ids in one.values() for i in ids}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    def tie(a, b):
+        a, b = sorted((top(a), top(b)))
+        up[b] = a
+
+    for ids in one.values():
+        for i in ids:
+            tie(ids[0], i)
+    linked = missed = 0
+    for k, (t, f) in enumerate(fps):
+        own_bands = set(near_prints.wide_bands(f).tolist())
+        for u, g in fps[:k]:
+            if min(f[0], g[0]) and fingerprints.likeness(f, g) >= near_prints.LEAST:
+                shared = own_bands & set(near_prints.wide_bands(g).tolist())
+                linked, missed = linked + 1, missed + (not shared)
+                if shared:
+                    tie(one[t][0], one[u][0])
+    return {i: top(i) for i in up}, linked, missed
+
+
+def family():
+    t = " ".join(RND.choices(WORDS, k=900))
+    out = [t]
+    for k in range(120):
+        u = out[RND.randrange(len(out))]
+        p = RND.randrange(len(u))
+        out.append(u[:p] + RND.choice(["#", "", "ab"]) + u[p + RND.randint(0, 2) :])
+    return out
+
+
+@pytest.mark.parametrize("most", [400_000, 200])
+def test_near_classes_against_all_pairs(spark, monkeypatch, most):
+    """Over one sorted run or many: classes equal those of all pairs; next to no like pair shares no band."""
+    monkeypatch.setattr(near_prints, "RUN_ROWS", most)
+    monkeypatch.setattr(near_dedup, "CELL_ROWS", 20)
+    own = [*DOCS, *((1000 + k, t) for k, t in enumerate(family())), (2000, DOCS[-1][1]), (2001, None), (2001, DOCS[-2][1]), (None, DOCS[-1][1]), (3, "y")]
+    d = spark.createDataFrame([(i, t, "clash") for i, t in own], "doc_id bigint, text string, near_id string").repartition(3)
+    got = {r["doc_id"]: r["near_id"] for r in near_prints.near_classes(d).collect()}
+    want, linked, missed = classes(own)
+    assert got == {i: m for i, m in want.items() if m < i}
+    assert linked > 1000 and missed <= 0.01 * linked
+    told = fingerprints.compared(d, near_prints.near_classes(d)).collect()
+    assert len(told) == len(own) and all(r["near_id"] == (None if r["doc_id"] is None else want[r["doc_id"]]) for r in told)
+
+
+def test_near_classes_of_an_empty_table(empty):
+    assert near_prints.near_classes(empty).collect() == [] and fingerprints.compared(empty, near_prints.near_classes(empty)).collect() == []
+
+
+def test_all_alike_is_likeness():
+    fps = [f for f in fingerprints.embed(["word", "words and more", *family()[:20], *(t[: 50 * k + 20] for k, t in enumerate(family()[:20]))]) if f[0]]
+    ends, many = near_prints._matrix([e for e, _ in fps], [near_prints._dense(s) for _, s in fps])
+    for k, (e, s) in enumerate(fps):
+        own = many[k].copy()
+        own[own == 255] = 254
+        assert near_prints._all_alike(e, own, ends, many) == pytest.approx([fingerprints.likeness((e, s), g) for g in fps])
+        assert (near_prints._print(e, near_prints._dense(s))[1] == s).all()
+
+
 def test_walk_against_single_steps():
     """The table of stays equals a walk bit by bit."""
     t = " ".join(RND.choices(WORDS, k=50))
