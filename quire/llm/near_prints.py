@@ -8,9 +8,10 @@ independent slots); slots of unlike texts agree about once in eight, so a band o
 
 1. Equal texts meet by hash, and only one row of each goes on, so a group of copies is one row.
 2. Bands are sorted (a range exchange by band and id: a hot band spreads over tasks). In a run of one band each row meets the
-   row before it and the run's first one; likenesses of these pairs give first components.
-3. Runs that may hold more links (three rows or more, or at a task's border) and lie in several components are finished in
-   cells of bounded size: each row outside the largest component meets all rows of the run. No link of a band is lost.
+   row before it; likenesses of these pairs give components. This is done for the FIRST bands of either end alone, then for all
+   bands; there only rows of different components meet, so a group of near copies, whose rows share all of their bands, is given out by few of these.
+3. Runs that may hold more links (three rows or more of several components, or at a task's border) and still lie in several
+   components are finished in cells of bounded size: each row outside the largest component meets all rows of the run. No link of a band is lost.
 
 Null counts as empty; empty texts are equal to each other. A text of fewer than LOWEST / 2 steps has no band and is linked with
 equal ones only. A repeated doc_id is one node with all its texts' links; rows without doc_id have no class. An empty table gives no rows; columns besides
@@ -25,6 +26,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from .fingerprints import LOWEST, SLICE, SLOTS, embed, likeness, steps_to
 from .near_dedup import components, dense_links
 
 BAND, BANDS = 12, 16
+#: Bands of either end whose rows meet before those of all bands.
+FIRST = 2
 #: Likeness from which two fingerprints are linked.
 LEAST = 0.9
 #: Band rows of a sorted run in one task.
@@ -90,29 +94,40 @@ def wide_bands(fp: tuple[int, np.ndarray]) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def _bands(batches):
-    for b in batches:
-        ids = b.column(0).to_numpy()
-        each = [wide_bands(_print(e, s)) for e, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-        if each:
-            n = [len(x) for x in each]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each)), pa.array(np.repeat(ids, n))], ["band", "doc_id"])
+def _bands(first: bool):
+    """(band, doc_id, root) of each text, of the FIRST bands or of all."""
+
+    def run(batches):
+        for b in batches:
+            ids, roots = b.column(0), b.column(1)
+            each = [wide_bands(_print(e, s)) for e, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            if first:
+                each = [x.reshape(-1, BANDS)[:, :FIRST].ravel() for x in each]
+            if each:
+                row = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each)), ids.take(row), roots.take(row)], ["band", "doc_id", "root"])
+
+    return run
 
 
 def _runs(batches):
-    """Of one sorted run of (band, doc_id): pairs (each row with the one before it and with its band's first one here), and the rows of bands that need cells."""
+    """Of one sorted run of (band, doc_id, root): pairs of different roots (each row with the one before it), and the rows of bands that
+    need cells."""
     got = [b for b in batches if b.num_rows]
     if not got:
         return
     t = pa.Table.from_batches(got)
     band, ids = t["band"].to_numpy(), t["doc_id"].to_numpy()
+    root = pc.coalesce(t["root"], t["doc_id"]).to_numpy()
     new = np.append(True, band[1:] != band[:-1])
     run = np.cumsum(new) - 1
-    first = np.flatnonzero(new)[run]
     at = np.flatnonzero(~new)
-    a, b = np.concatenate([ids[at - 1], ids[first[at]]]), np.concatenate([ids[at], ids[at]])
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
-    d = np.flatnonzero((np.bincount(run)[run] > 2) | (run == 0) | (run == run[-1]))
+    at = at[root[at - 1] != root[at]]
+    a, b = at - 1, at
+    pairs = np.unique(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], axis=1), axis=0)
+    several = np.zeros(run[-1] + 1, bool)
+    several[run[b]] = True
+    d = np.flatnonzero(several[run] & (np.bincount(run)[run] > 2) | (run == 0) | (run == run[-1]))
     for dense, x, y in ((False, pairs[:, 0], pairs[:, 1]), (True, band[d], ids[d])):
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), dense)), pa.array(x), pa.array(y)], ["dense", "a", "b"])
 
@@ -178,13 +193,24 @@ def near_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     prints = settle(bound(docs, {"doc_id": "bigint", "text": "string"}).where("doc_id is not null").mapInArrow(_printed, _PRINTS))
     top = F.struct("steps", "slots")
     one = settle(prints.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.first(top).alias("p")).select("hi", "lo", "doc_id", "p.*"))
-    n = max(partitions(spark), one.count() * 2 * BANDS // RUN_ROWS + 1)
-    runs = one.select("doc_id", "steps", "slots").mapInArrow(_bands, "band bigint, doc_id bigint").repartitionByRange(n, "band", "doc_id").sortWithinPartitions("band", "doc_id")
-    found = settle(runs.mapInArrow(_runs, _PAIRS))
     fp = one.select("doc_id", "steps", "slots")
-    pairs = found.where("not dense").select("a", "b").distinct()
-    both = pairs.join(fp.toDF("a", "ea", "sa"), "a").join(fp.toDF("b", "eb", "sb"), "b").select("a", "b", "ea", "sa", "eb", "sb")
-    edges = both.mapInArrow(_verified(least), "a bigint, b bigint")
+    rows = one.count()
+
+    def met(first, comp):
+        """What _runs gives for the FIRST bands or all, with the components of comp."""
+        own = fp.withColumn("root", F.lit(None).cast("bigint")) if comp is None else spread_join(fp, comp.where("node <> root").toDF("doc_id", "root"), "doc_id", "left")
+        n = max(partitions(spark), rows * 2 * (FIRST if first else BANDS) // RUN_ROWS + 1)
+        bands = own.select("doc_id", "root", "steps", "slots").mapInArrow(_bands(first), "band bigint, doc_id bigint, root bigint")
+        return settle(bands.repartitionByRange(n, "band", "doc_id").sortWithinPartitions("band", "doc_id").mapInArrow(_runs, _PAIRS))
+
+    def linked(found):
+        pairs = found.where("not dense").select("a", "b").distinct()
+        both = pairs.join(fp.toDF("a", "ea", "sa"), "a").join(fp.toDF("b", "eb", "sb"), "b").select("a", "b", "ea", "sa", "eb", "sb")
+        return both.mapInArrow(_verified(least), "a bigint, b bigint")
+
+    edges = settle(linked(met(True, None)))
+    found = met(False, components(edges))
+    edges = edges.unionByName(linked(found))
     # a repeated id ties its texts together
     several = prints.groupBy("doc_id").agg(F.min(F.struct("hi", "lo")).alias("m"), F.max(F.struct("hi", "lo")).alias("x")).where("m <> x").select("doc_id")
     key = one.select("hi", "lo", F.col("doc_id").alias("b"))
