@@ -24,7 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, bound, bounded_batches, buffers, joined_spans, keys, settle
@@ -240,7 +240,13 @@ class Network:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """A network from the findings of docs; None without findings of both labels."""
     got = settle(bound(docs, {"text": "string"}).mapInArrow(lambda it: _findings(it, sample), "ord bigint, label int, win binary").dropDuplicates(["ord", "label"]))
-    rows = [r for y in (0, 1) for r in got.where(F.col("label") == y).orderBy("ord", "win").limit(sample).collect()]  # at most 2 * sample windows
+    # each task of a sorted limit sends its own first rows to the driver; leave only ranges of orders (of 2 ** 16; an order has 56 bits) that hold the first rows of all
+    range_of = F.shiftright("ord", 40)
+    sizes = got.groupBy("label", range_of.alias("at")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("label").orderBy("at")) - F.col("n")
+    last = sizes.select("label", "at", before.alias("before")).where(F.col("before") < sample).groupBy("label").agg(F.max("at").alias("last"))
+    near = settle(got.join(F.broadcast(last), "label").where(range_of <= F.col("last")).select("ord", "label", "win"))
+    rows = [r for y in (0, 1) for r in near.where(F.col("label") == y).orderBy("ord", "win").limit(sample).collect()]  # at most 2 * sample windows
     rows.sort(key=lambda r: (r["ord"], bytes(r["win"])))
     y = np.array([r["label"] for r in rows], np.float32)
     return Network().train([bytes(r["win"]) for r in rows], y) if 0 < y.sum() < len(y) else None
